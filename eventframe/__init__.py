@@ -1,9 +1,6 @@
 """eventframe: columnar event files as Spark DataFrames."""
 
+from .plans import oracle_sql, queries
+from .sources.api import count_events, open_events, read_events, register
 
-def queries():
-    return {}
-
-
-def oracle_sql():
-    return {}
+__all__ = ["count_events", "open_events", "oracle_sql", "queries", "read_events", "register"]
