@@ -5,8 +5,8 @@ from __future__ import annotations
 COVER_TREE = """
 WITH RECURSIVE live AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
-  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM live a JOIN live b
     ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98
@@ -27,11 +27,11 @@ WITH sized AS (
   SELECT *, CASE (r - 1) % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS w,
     source_size::DOUBLE * 2.0::DOUBLE AS cap, (sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE AS budget FROM src
 ), level AS (
-  SELECT *, cap / w AS ratio, (budget - coalesce(sum(cap) OVER prev, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER prev, 0)) AS lambda
+  SELECT *, cap / w AS ratio, (budget - coalesce(sum(cap) OVER prev, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER prev, 0)) AS lam
   FROM weighed WINDOW prev AS (ORDER BY cap / w, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-), edge AS (SELECT ratio AS ratio0, r AS r0, lambda AS lambda0 FROM level WHERE ratio >= lambda ORDER BY ratio, r LIMIT 1),
+), edge AS (SELECT ratio AS ratio0, r AS r0, lam AS lam0 FROM level WHERE ratio >= lam ORDER BY ratio, r LIMIT 1),
 target AS (
-  SELECT source, source_size, CASE WHEN ratio0 IS NOT NULL AND (ratio > ratio0 OR (ratio = ratio0 AND r >= r0)) THEN w * lambda0 ELSE cap END AS target
+  SELECT source, source_size, CASE WHEN ratio0 IS NOT NULL AND (ratio > ratio0 OR (ratio = ratio0 AND r >= r0)) THEN w * lam0 ELSE cap END AS target
   FROM level LEFT JOIN edge ON true
 ), docs AS (SELECT s.doc_id, s.source, s.size, t.source_size, t.target FROM sized s JOIN target t ON s.source IS NOT DISTINCT FROM t.source),
 copies AS (
@@ -51,7 +51,7 @@ WITH p AS (
 ), d AS (
   SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS hex FROM p
 ), b AS (
-  SELECT page_id, payload_bytes, hex, list_aggregate(list_transform(range(32), i ->
+  SELECT page_id, payload_bytes, hex, list_aggregate(list_transform(range(32), lambda i:
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(hex, (i // 8 * 10 + 1)::INT, 10))::BIGINT >> (35 - 5 * (i % 8))::INT) & 31)::INT + 1, 1)), 'string_agg', '') AS payload_digest
   FROM d
 )
