@@ -101,7 +101,7 @@ def split_on(rows: np.ndarray, sk: np.ndarray, seed: int, depth: int, small: int
         cuts = np.flatnonzero(np.diff(own[order, k])) + 1
         for part in np.split(order, cuts):
             if len(part) > 1:
-                yield from split_on(rows[part], sk, int(mix(np.array([seed * 64 + int(k) * 7 + int(own[part[0], k])], dtype=np.uint64))[0] >> np.uint64(2)), depth - 1, small)
+                yield from split_on(rows[part], sk, (seed * 16_411 + int(k) * 257 + int(own[part[0], k])) % (1 << 40), depth - 1, small)
 
 
 def forest(ids: pa.Array, root: np.ndarray) -> pa.RecordBatch:
