@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .common import cut
 
 #: What is looked for. Possessive and bounded, so that a long run costs linear time.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,128}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z])"
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,128}+@(?:[\p{L}\p{N}-]{1,63}+\.){1,8}\p{L}{2,24}(?!\p{L})"
 PHONE = r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}(?![\w])|(?<![\w(+-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[.-]\d{4}(?![\w-])"
 CARD = r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"
 IPV4 = r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)"

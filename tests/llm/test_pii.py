@@ -63,6 +63,11 @@ def test_format_gender_and_script(rewritten):
     assert any(her[1].endswith(e) for e in pii.ENDINGS["cyrillic"]["f"])
 
 
+def test_accented_addresses(make_docs):
+    text = pii.pseudonymise(make_docs([(1, "an josé.pérez@correo.es, юрий@почта.рф.")])).first().text
+    assert "jos" not in text and "юрий" not in text and re.fullmatch(r"an [a-z]{4}\.[a-z]{5}@[a-z]+\.example\.\w{3}, [а-я]{4}@[а-яa-z]+\.example\.\w{3}\.", text), text
+
+
 def test_coreference_distinctness_and_key(make_docs):
     mails = [f"u{k}@x.org" for k in range(200)]
     docs = make_docs([(k, f"{m} then {m.upper()} and {mails[0]}") for k, m in enumerate(mails)])
