@@ -27,7 +27,7 @@ def read_events(spark: SparkSession, paths: str | list[str], tree: str = "Events
     Session settings spark.datasource.root.* are options too, weaker than those given here.
     """
     register(spark)
-    given = {k.removeprefix("spark.datasource.root."): v for k, v in spark.sparkContext.getConf().getAll() if k.startswith("spark.datasource.root.")}
+    given = {k.removeprefix("spark.datasource.root."): v for k, v in spark.conf.getAll.items() if k.startswith("spark.datasource.root.")}
     given |= {k: str(v) for k, v in options.items()} | {"tree": tree}
     if columns is not None:
         given["columns"] = ",".join(columns)

@@ -184,9 +184,9 @@ def test_missing_things(all_types, tmp_path):
 def test_bytes_read_for_schema_and_plan(tmp_path):
     """The budget for opening, schema and plan of one column of 46 rows in several baskets: 22 000 bytes, 5 964 of them distinct."""
     path = str(tmp_path / "f.root")
-    write_tree(path, "foriter", [{"data": pa.array(np.arange(a, min(a + 6, 46), dtype="i4"))} for a in range(0, 46, 6)], [Column("data", "int")])
+    write_tree(path, "steps", [{"data": pa.array(np.arange(a, min(a + 6, 46), dtype="i4"))} for a in range(0, 46, 6)], [Column("data", "int")])
     profile = []
-    v = open_events(path, "foriter", profile)
+    v = open_events(path, "steps", profile)
     schema_of(v.tree)
     assert v.baskets("data")
     upper = [(at, n) for level, _, at, n, _, _ in profile if level == "upper"]

@@ -72,6 +72,30 @@ def test_empty_tree(spark, tmp_path):
     assert eventframe.read_events(spark, str(tmp_path)).collect() == []
 
 
+def test_session_settings_are_options(spark, sf):
+    spark.conf.set("spark.datasource.root.entriesPerPartition", "500")
+    try:
+        path = folder(spark, sf, "orders")
+        assert eventframe.read_events(spark, path, columns=["o_orderkey"]).rdd.getNumPartitions() == 3
+        assert eventframe.read_events(spark, path, columns=["o_orderkey"], entriesPerPartition=5000).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.unset("spark.datasource.root.entriesPerPartition")
+
+
+def test_profile(spark, sf):
+    import os
+
+    from eventframe.sources.api import open_events, profile_frame
+
+    base = folder(spark, sf, "orders")
+    profile = []
+    view = open_events(os.path.join(base, next(f for f in os.listdir(base) if f.endswith(".root"))), "Events", profile)
+    view.array("o_orderkey", 0, 10)
+    levels = {r.level: r.n for r in profile_frame(spark, profile).groupBy("level").agg({"length": "sum"}).withColumnRenamed("sum(length)", "n").collect()}
+    assert levels["upper"] > 0 and levels["lower"] > 0
+    assert profile_frame(spark, []).count() == 0
+
+
 def test_errors(spark, tmp_path):
     with pytest.raises(Exception, match="FileNotFound"):
         eventframe.read_events(spark, str(tmp_path / "none")).collect()
