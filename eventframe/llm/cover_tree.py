@@ -22,44 +22,57 @@ from .vectors import matrix, usable
 EPS = 1e-7
 
 
+def distances(u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Between all rows of two blocks of unit vectors, in one product."""
+    d = u @ w.T
+    d *= -2.0
+    d += 2.0
+    return np.sqrt(np.maximum(d, 0.0, out=d), out=d)
+
+
 class CoverTree:
-    """Levels of nodes over unit vectors u; level l has radius 2 / 2**l. Points equal to a centre up to the last radius are
-    its leaves. Per level: centre (row), first and last child at the next level, far (distance to the farthest descendant)."""
-
-    def __init__(self, u: np.ndarray, depth: int = 7):
-        n = len(u)
-        gram = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (u @ u.T)))
-        order = np.arange(n)  # rows, so that each node's descendants are neighbours
-        self.levels = [(np.zeros(1, int), np.zeros(1, int), np.full(1, n))]  # centre, start, end of its descendants in order
+    """Levels of nodes over one block; dist: its distances; level l has radius 2 / 2**l. Per level: centre (row), start and
+    end of its descendants in order, which lists rows so that a node's descendants are neighbours. far: distance to the
+    farthest descendant; child: first and last child at the next level."""
+
+    def __init__(self, dist: np.ndarray, depth: int = 7):
+        n = len(dist)
+        order = np.arange(n)
+        self.levels = [(np.zeros(1, int), np.zeros(1, int), np.full(1, n))]
         for level in range(1, depth + 1):
-            radius, centres, starts, ends = 2.0 / 2**level, [], [], []
-            for c, a, b in zip(*self.levels[-1]):
-                rest, at = order[a:b], a
-                sorted_rows = []
-                p = c  # nested: a centre stays a centre below
-                while len(rest):
-                    near = gram[p, rest] <= radius
-                    near |= rest == p
+            radius = 2.0 / 2**level
+            above_c, above_a, above_b = self.levels[-1]
+            alone = above_b - above_a == 1
+            centres, starts, ends = [], [], []
+            for p, a, b in zip(above_c[~alone].tolist(), above_a[~alone].tolist(), above_b[~alone].tolist()):
+                rest, at, rows = order[a:b], a, []
+                while True:  # nested: a centre stays a centre below
+                    near = dist[p, rest] <= radius
+                    near[rest == p] = True
                     mine = rest[near]
                     centres.append(p)
                     starts.append(at)
                     at += len(mine)
                     ends.append(at)
-                    sorted_rows.append(mine)
+                    rows.append(mine)
+                    if at == b:
+                        break
                     rest = rest[~near]
-                    p = rest[0] if len(rest) else -1
-                order[a:b] = np.concatenate(sorted_rows)
-            self.levels.append((np.array(centres), np.array(starts), np.array(ends)))
-            if len(centres) == n:
+                    p = int(rest[0])
+                order[a:b] = np.concatenate(rows)
+            c = np.r_[above_c[alone], np.array(centres, int)]
+            a, b = np.r_[above_a[alone], np.array(starts, int)], np.r_[above_b[alone], np.array(ends, int)]
+            by = np.argsort(a)
+            self.levels.append((c[by], a[by], b[by]))
+            if len(c) == n:
                 break
         if len(self.levels[-1][0]) < n:
             self.levels.append((order.copy(), np.arange(n), np.arange(n) + 1))
-        self.order = order
+        self.order, self.dist = order, dist
         self.far, self.child = [], []
         for i, (c, a, b) in enumerate(self.levels):
             owner = np.repeat(np.arange(len(c)), b - a)
-            far = np.zeros(len(c))
-            np.maximum.at(far, owner, gram[c[owner], order])
+            far = np.maximum.reduceat(dist[c[owner], order], a)
             self.far.append(np.where(b - a == 1, 0.0, far))
             if i + 1 < len(self.levels):
                 s = self.levels[i + 1][1]
@@ -73,7 +86,7 @@ def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return owner, np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + starts[owner]
 
 
-def meet(tx: CoverTree, ty: CoverTree, ux: np.ndarray, uy: np.ndarray, tau: float, same: bool):
+def meet(tx: CoverTree, ty: CoverTree, dist: np.ndarray, tau: float, same: bool):
     """Dual traversal. Returns node pairs that are linked throughout, as (start, end) of positions in tx.order and in
     ty.order, and pairs of positions that are left to test. With same, each unordered pair comes once."""
     whole: list[np.ndarray] = []
@@ -88,7 +101,7 @@ def meet(tx: CoverTree, ty: CoverTree, ux: np.ndarray, uy: np.ndarray, tau: floa
         open_p, open_q = [], []
         for at in range(0, len(p), 1 << 16):
             a, b = p[at : at + (1 << 16)], q[at : at + (1 << 16)]
-            d = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * np.einsum("ij,ij->i", ux[cp[a]], uy[cq[b]])))
+            d = dist[cp[a], cq[b]]
             spread = tx.far[i][a] + ty.far[j][b]
             near = d <= tau + spread + EPS
             sure = d + spread <= tau - EPS
@@ -113,9 +126,9 @@ def threshold_links(x: np.ndarray, y: np.ndarray | None, cosine: float):
     norm_x = np.linalg.norm(x, axis=1)
     ux = x / norm_x[:, None]
     norm_y, uy, y = (norm_x, ux, x) if same else ((n := np.linalg.norm(y, axis=1)), y / n[:, None], y)
-    tx = CoverTree(ux)
-    ty = tx if same else CoverTree(uy)
-    whole, p, q = meet(tx, ty, ux, uy, float(np.sqrt(2.0 - 2.0 * cosine)), same)
+    tx = CoverTree(distances(ux, ux))
+    ty = tx if same else CoverTree(distances(uy, uy))
+    whole, p, q = meet(tx, ty, tx.dist if same else distances(ux, uy), float(np.sqrt(2.0 - 2.0 * cosine)), same)
     at_x, at_y = np.zeros(len(x) + 1, int), np.zeros(len(y) + 1, int)
     a0, a1, b0, b1 = whole.T
     np.add.at(at_x, a0, b1 - b0)
