@@ -160,7 +160,8 @@ def jaccard_classes(
     set_block_rows: int = 256,
 ) -> DataFrame:
     """One row per row of docs: id_col, text_key (xxhash64 of the text), n_links (other rows whose shingle sets have
-    Jaccard similarity of at least threshold with this row's), class_id (the smallest id among the rows reachable by links).
+    Jaccard similarity of at least threshold with this row's), class_id (the smallest id among the rows reachable by links),
+    class_key (which tells classes apart even where ids repeat; null without a word).
 
     Words are maximal runs of bytes other than space and tab to carriage return, compared as they are; a text of fewer
     than five words is one shingle. Rows without a word (null, empty or blank texts) link with nothing and are classes of their own.
@@ -286,6 +287,6 @@ def jaccard_classes(
     linked = settled.groupBy("sid").agg(F.sum("n").alias("n"))
     label = classes.select("sid", "m", "least_id").join(linked, "sid", "left").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     low = label.groupBy("root").agg(F.min("least_id").alias("class_id"))
-    label = label.join(low, "root").select("sid", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), "class_id")
+    label = label.join(low, "root").select("sid", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), "class_id", F.col("root").alias("class_key"))
     out = signed.select("id", "text_key", "sid").join(label, "sid", "left")
-    return out.select(F.col("id").alias(id_col), "text_key", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("sid").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"))
+    return out.select(F.col("id").alias(id_col), "text_key", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("sid").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), "class_key")
