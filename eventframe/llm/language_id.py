@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shingles import mix
@@ -66,11 +66,11 @@ class Model:
         return len(self.log_prob)
 
 
-def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key: Column | None = None, sample_docs: int = 20_000, buckets: int = 1 << 15, alpha: float = 0.5) -> Model:
-    """Counts n-grams of the whole texts of at most sample_docs labelled rows, those of the smallest hash (of key, or of the text), on
-    the executors; the driver gets one count per language and bucket. Priors are the languages' shares in the sample. Rows
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key: tuple[str, ...] = (), sample_docs: int = 20_000, buckets: int = 1 << 15, alpha: float = 0.5) -> Model:
+    """Counts n-grams of the whole texts of at most sample_docs labelled rows, those of the smallest hash of the key
+    columns and the text (a key tells copies of one text apart, so that they can't fill the sample), on the executors; the driver gets one count per language and bucket. Priors are the languages' shares in the sample. Rows
     without text or language are no examples."""
-    rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(key if key is not None else F.col(text_col)).alias("h")).where("text is not null and lang is not null")
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(*key, text_col).alias("h")).where("text is not null and lang is not null")
     edge = rows.agg(F.count("*").alias("n")).first()["n"]
     if edge > sample_docs:  # a share of the hash range that holds about sample_docs rows, so that no sort or single task is needed
         rows = rows.where(F.col("h") < F.lit(int(-(2**63) + 2**64 * (sample_docs / edge))))

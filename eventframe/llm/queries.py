@@ -36,7 +36,7 @@ def fold(id_col: str = "doc_id"):
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = language_id.fit(docs.where(F.coalesce(~fold(), F.lit(True))))
+    model = language_id.fit(docs.where(F.coalesce(~fold(), F.lit(True))), key=("doc_id",))
     return language_id.predict(docs.select(F.struct("doc_id", F.coalesce(fold(), F.lit(False)).alias("held_out")).alias("row"), "text"), model, id_col="row").select("row.doc_id", "row.held_out", "lang_pred", "score")
 
 
