@@ -20,7 +20,7 @@ from pyspark.sql.datasource import (
 
 from .options import Options
 from .paths import local_path, resolve
-from .planning import EntryRange, open_tree, plan, plan_file
+from .planning import WHOLE, EntryRange, open_tree, plan, plan_file
 from .reading import read_range
 from .schema import leaves, prune, schema_of
 from .writer import parse_types
@@ -30,7 +30,7 @@ class EventSource(DataSource):
     """spark.read.format("root").option("tree", "Events").load(paths).
 
     Options (any case): tree, path or paths, columns (comma-separated, dotted for struct members), entriesPerPartition, threadCount
-    (0 decodes in the task's own thread), batchRows, uint64 (wrap or decimal). A schema given to spark.read prunes
+    (0 decodes in the task's own thread), batchRows, uint64 (wrap or decimal), planning (driver, executor or auto). A schema given to spark.read prunes
     the scan to its columns, as does the option columns.
     """
 
@@ -62,7 +62,11 @@ class EventReader(DataSourceReader):
         return made or [EntryRange("", self.options.tree, 0, 0, ())]
 
     def read(self, part: EntryRange) -> Iterator[pa.RecordBatch]:
-        if part.stop > part.start:
+        if part.stop == WHOLE:
+            ranges = plan_file(part.file, part.tree, leaves(self.schema), self.options.entries_per_partition)
+            for r in ranges:
+                yield from read_range(r, self.schema, self.options.threads, self.options.batch_rows)
+        elif part.stop > part.start:
             yield from read_range(part, self.schema, self.options.threads, self.options.batch_rows)
 
 

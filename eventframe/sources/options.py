@@ -7,8 +7,8 @@ import warnings
 from dataclasses import dataclass
 from typing import Any
 
-KNOWN = {"tree": str, "threadcount": int, "path": str, "paths": str, "columns": str, "entriesperpartition": int, "uint64": str, "batchrows": int, "codec": str, "types": str}
-DEFAULTS = {"tree": "Events", "threadcount": 16, "entriesperpartition": 200_000, "uint64": "wrap", "batchrows": 65_536}
+KNOWN = {"tree": str, "threadcount": int, "path": str, "paths": str, "columns": str, "entriesperpartition": int, "uint64": str, "batchrows": int, "codec": str, "types": str, "planning": str}
+DEFAULTS = {"tree": "Events", "threadcount": 16, "entriesperpartition": 200_000, "uint64": "wrap", "batchrows": 65_536, "planning": "auto"}
 
 
 class OptionError(ValueError):
@@ -24,6 +24,7 @@ class Options:
     entries_per_partition: int
     uint64: str
     batch_rows: int
+    planning: str
 
     @staticmethod
     def parse(given: dict[str, Any]) -> Options:
@@ -49,9 +50,11 @@ class Options:
             raise OptionError("entriesPerPartition and batchRows must be positive, threadCount not negative")
         if value("uint64") not in ("wrap", "decimal"):
             raise OptionError("uint64 must be wrap or decimal")
+        if value("planning") not in ("auto", "driver", "executor"):
+            raise OptionError("planning must be auto, driver or executor")
         columns = low.get("columns")
         names = tuple(c.strip() for c in columns.split(",") if c.strip()) if columns is not None else None
-        return Options(value("tree"), threads, tuple(sorted(paths)), names, per, value("uint64"), value("batchrows"))
+        return Options(value("tree"), threads, tuple(sorted(paths)), names, per, value("uint64"), value("batchrows"), value("planning"))
 
     def need_paths(self) -> Options:
         if not self.paths:

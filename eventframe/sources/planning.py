@@ -15,6 +15,8 @@ from .rootio.trees import Tree
 from .schema import leaves
 
 PLANNERS = 16
+#: With planning=auto, so many files are opened by the driver at most; of more, each is one partition that its task plans.
+DRIVER_FILES = 4096
 
 
 @dataclass(frozen=True)
@@ -44,6 +46,10 @@ def overlap(starts: tuple[int, ...] | list[int], start: int, stop: int) -> tuple
     return lo, max(lo, bisect_left(starts, stop, 0, len(starts) - 1))
 
 
+#: The end of a range that is a whole file, whatever it holds.
+WHOLE = -1
+
+
 @dataclass
 class EntryRange(InputPartition):
     file: str
@@ -80,7 +86,9 @@ def plan_file(path: str, name: str, columns: list[tuple[str, ...]], per: int) ->
 
 
 def plan(files: list[str], options: Options, schema: T.StructType) -> list[EntryRange]:
-    """All partitions of all files, in order; files are looked at in parallel."""
+    """All partitions of all files, in order. The driver looks at files in parallel; or, with planning=executor, not at all."""
+    if options.planning == "executor" or options.planning == "auto" and len(files) > DRIVER_FILES:
+        return [EntryRange(f, options.tree, 0, WHOLE, ()) for f in files]
     columns = leaves(schema)
     with ThreadPoolExecutor(max(1, min(PLANNERS, len(files)))) as pool:
         made = list(pool.map(lambda f: plan_file(f, options.tree, columns, options.entries_per_partition), files))

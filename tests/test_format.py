@@ -130,7 +130,7 @@ def test_schema(all_types):
         prune(s, ("none",))
 
 
-@pytest.mark.parametrize("embed,large,holes,codec", itertools.product([False, True], [False, True], [False, True], ["raw", "zlib"]))
+@pytest.mark.parametrize("embed,large,holes,codec", list(itertools.product([False, True], [False, True], [False, True], ["raw", "zlib"])))
 def test_layouts(tmp_path, embed, large, holes, codec):
     """Baskets in the tree's own record, 64-bit headers, unused slots, trees in folders, nested branches."""
     path = str(tmp_path / "x.root")

@@ -59,6 +59,15 @@ def test_pruned_plan_reads_only_what_is_asked(spark, sf):
     assert "l_orderkey" not in df._jdf.queryExecution().toString()
 
 
+def test_planning_on_executors(spark, sf):
+    from eventframe.plans.fixtures import by_flag
+
+    path = by_flag(spark, sf)
+    a, b = (eventframe.read_events(spark, path, columns=["l_orderkey", "l_flag"], planning=p, entriesPerPartition=700) for p in ("driver", "executor"))
+    assert b.rdd.getNumPartitions() == 3 < a.rdd.getNumPartitions()
+    assert sorted(a.collect()) == sorted(b.collect())
+
+
 def test_nested_columns(spark, sf):
     df = eventframe.read_events(spark, folder(spark, sf, "nested"), columns=["cust.acctbal", "o_totalprice"])
     assert df.schema.simpleString() == "struct<cust:struct<acctbal:double>,o_totalprice:double>"
