@@ -161,7 +161,7 @@ def scan_inline_threads(spark, sf):
 
 def _codec(name: str):
     def run(spark, sf):
-        return scan(spark, sf, f"codec_{name}", ["o_orderkey", "o_totalprice", "o_order_us"]).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.round(F.sum("o_totalprice"), 2).alias("price"), F.sum("o_order_us").cast("decimal(38,0)").cast("string").alias("us"))
+        return scan(spark, sf, f"codec_{name}", ["o_orderkey", "o_totalprice", "o_order_us"]).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.round(F.sum("o_totalprice"), 2).alias("price"), F.sum(F.col("o_order_us").cast("decimal(20,0)")).cast("string").alias("us"))
 
     run.__name__ = f"codec_{name}"
     SPECS[run.__name__] = (run, "SELECT count(*) AS n, sum(o_orderkey)::BIGINT AS keys, round(sum(o_totalprice), 2) AS price, sum(epoch_us(o_orderdate))::VARCHAR AS us FROM orders")
