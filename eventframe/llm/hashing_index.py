@@ -150,8 +150,8 @@ def nearest(
     k: int = 20,
     rotations: int = 4,
     sample_rows: int = 8192,
-    block_rows: int = 2048,
-    query_rows: int = 4096,
+    block_rows: int = 16_384,
+    query_rows: int = 256,
 ) -> DataFrame:
     """(query_id, rank, id_col, score): the k rows of largest inner product found for each row where is_query holds, its
     own row left out; ties go to the smaller id.
