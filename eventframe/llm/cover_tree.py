@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import blocks_of, components, cut, min_roots, sorted_groups
-from .vectors import matrix, usable
+from .vectors import matrix, numbers, usable
 
 #: Slack for rounding in distances computed from products; pairs within it are settled by their exact cosine.
 EPS = 1e-7
@@ -170,7 +170,7 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     cell returns counts and a spanning forest, never its pairs. Rows that repeat an id count as rows of their own with
     one component; rows with a null id are returned with no links, a null component and kept false.
     """
-    base = rows.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<float>").alias("v"), (F.col(label_col) if label_col else F.lit(0)).alias("label"))
+    base = rows.select(F.col(id_col).alias("id"), numbers(rows, vector_col).alias("v"), (F.col(label_col) if label_col else F.lit(0)).alias("label"))
     base = base.withColumn("vh", F.xxhash64("v", "label"))
     kind = base.schema["id"].dataType.simpleString()
     live = base.where(usable(F.col("v")) & F.col("label").isNotNull() & F.col("id").isNotNull()).select("id", "vh", "v", F.struct("label", F.size("v")).alias("g"))

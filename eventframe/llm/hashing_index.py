@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import blocks_of, sorted_groups
-from .vectors import matrix, prevailing_size, usable
+from .vectors import matrix, numbers, prevailing_size, usable
 
-PARTS_PER_WORD = 4
+#: Queries probed at once: their tables against a block stay in the processor's cache.
+CHUNK = 32
 
 
 def fit_rotations(x: np.ndarray, n: int, rounds: int = 20, seed: int = 7) -> np.ndarray:
@@ -49,7 +50,7 @@ def hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(np.ascontiguousarray(a).view(np.uint64) ^ np.ascontiguousarray(b).view(np.uint64)).sum(axis=1, dtype=np.int64)
 
 
-def radius_for(x: np.ndarray, rotation: np.ndarray, k: int, share: float = 0.985, queries: int = 256) -> int:
+def radius_for(x: np.ndarray, rotation: np.ndarray, k: int, share: float = 0.96, queries: int = 256) -> int:
     """A Hamming radius that holds this share of the k nearest within the sample. Neighbours in the sample are farther
     than those in the whole table, so on the whole table the radius holds at least as many."""
     if len(x) <= k + 1:
@@ -73,10 +74,11 @@ class SubstringIndex:
     """One block of codes, each substring indexed by its value."""
 
     def __init__(self, codes: np.ndarray):
-        self.codes, self.parts = codes, []
+        self.codes, self.parts, self.value_of = codes, [], []
         for j in range(codes.shape[1]):
             values, inverse = np.unique(codes[:, j], return_inverse=True)
             rows = np.argsort(inverse, kind="stable")
+            self.value_of.append(inverse)
             self.parts.append((values, rows, np.searchsorted(inverse[rows], np.arange(len(values) + 1))))
 
     def probe(self, queries: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,18 +93,21 @@ class SubstringIndex:
             if rho >= 16:
                 hit[:] = True
                 break
-            if len(masks(rho)) < len(values):  # enumerate the values in reach and look each up
+            if 8 * len(masks(rho)) < len(values):  # enumerate the values in reach and look each up
                 for i, sub in enumerate(queries[:, j]):
                     reach = masks(rho) ^ sub
-                    at = np.searchsorted(values, reach)
-                    at = at[(at < len(values)) & (values[np.minimum(at, len(values) - 1)] == reach)]
-                    for v in at:
-                        hit[i, rows[starts[v] : starts[v + 1]]] = True
-            else:  # fewer values than probes: test each indexed value
+                    at = np.minimum(np.searchsorted(values, reach), len(values) - 1)
+                    at = at[values[at] == reach]
+                    size = starts[at + 1] - starts[at]
+                    hit[i, rows[np.arange(size.sum()) + np.repeat(starts[at] - (np.cumsum(size) - size), size)]] = True
+            else:  # not many fewer values than probes: test each indexed value
                 near = np.bitwise_count(queries[:, j][:, None] ^ values[None, :]) <= rho
-                inverse = np.empty(n, dtype=np.int64)
-                inverse[rows] = np.repeat(np.arange(len(values)), np.diff(starts))
-                hit |= near[:, inverse]
+                hit |= near[:, self.value_of[j]]
+        if 8 * np.count_nonzero(hit) > hit.size:  # whole words of all pairs cost less than gathering most of them
+            far = np.zeros(hit.shape, dtype=np.uint16)
+            for x, y in zip(np.ascontiguousarray(queries).view(np.uint64).T, self.codes.view(np.uint64).T):
+                far += np.bitwise_count(x[:, None] ^ y[None, :])
+            return np.nonzero(hit & (far <= r))
         qi, ri = np.nonzero(hit)
         ok = hamming(queries[qi], self.codes[ri]) <= r
         return qi[ok], ri[ok]
@@ -112,8 +117,8 @@ def top_in_block(qx: np.ndarray, qid: np.ndarray, x: np.ndarray, ids: np.ndarray
     """The k nearest of each query in one block: all codes within r, or, where these are fewer than k, within the
     least radius that holds k; reranked by inner product. Yields (query, id, score) arrays."""
     index, qc = SubstringIndex(encode(x, rotation)), encode(qx, rotation)
-    for lo in range(0, len(qx), 512):
-        sub = slice(lo, lo + 512)
+    for lo in range(0, len(qx), CHUNK):
+        sub = slice(lo, lo + CHUNK)
         qi, ri = index.probe(qc[sub], r)
         own = qid[sub][qi] == ids[ri]
         qi, ri = qi[~own], ri[~own]
@@ -166,7 +171,7 @@ def nearest(
     from pyspark.sql import Window
 
     spark = rows.sparkSession
-    base = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("v"), is_query.alias("q")).where(usable(F.col("v")) & F.col("id").isNotNull())
+    base = rows.select(F.col(id_col).cast("long").alias("id"), numbers(rows, vector_col).alias("v"), is_query.alias("q")).where(usable(F.col("v")) & F.col("id").isNotNull())
     d = prevailing_size(base, "v")
     base = base.where(F.size("v") == d)
     sample = [r["v"] for r in base.select("v", F.xxhash64("id", "v").alias("h")).orderBy("h").limit(sample_rows).collect()]

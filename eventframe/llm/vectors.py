@@ -14,6 +14,12 @@ def usable(vector: Column) -> Column:
     return F.coalesce((F.size(vector) > 0) & ~bad & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def numbers(rows: DataFrame, vector: str) -> Column:
+    """The vector column as it is if single precision, else in double precision."""
+    single = rows.schema[vector].dataType.simpleString() == "array<float>"
+    return F.col(vector) if single else F.col(vector).cast("array<double>")
+
+
 def prevailing_size(rows: DataFrame, vector: str) -> int:
     """The commonest length of the vectors (ties: the smallest); others have no product with most rows."""
     best = rows.groupBy(F.size(vector).alias("d")).count().orderBy(F.desc("count"), "d").first()

@@ -61,6 +61,15 @@ def test_near_vectors_odd_rows(spark):
     assert cover_tree.near_vectors(rows.limit(0)).collect() == []
 
 
+def test_double_precision_is_kept(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(0, [1.0, 1e-12], 0), (1, [0.1, 1.0], 0), (2, [1 / 3, 1.0], 0)], "vec_id long, embedding array<double>, label int")
+    got = hashing_index.nearest(rows, F.col("vec_id") == 0).collect()
+    assert [(r.vec_id, r.score) for r in got] == [(2, 1 / 3 + 1e-12), (1, 0.1 + 1e-12)]
+    assert [r.n_links for r in cover_tree.near_vectors(rows, cosine=0.97).orderBy("vec_id").collect()] == [0, 1, 1]
+
+
 def test_query_near_vectors(spark, sf):
     rows = op6_cover_tree_pairs(spark, sf).collect()
     assert len(rows) == 500 and all(r.kept == (r.vec_id == r.component_id) for r in rows)
