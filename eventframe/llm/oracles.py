@@ -18,6 +18,20 @@ SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.component_id, e.vec_id =
 FROM embeddings e JOIN comp c ON c.node = e.vec_id LEFT JOIN n ON n.a = e.vec_id
 """
 
+CHOSEN_PATH = r"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM words
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+near AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 10 * c >= 8 * (x.n + y.n - c)),
+links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+reach(node, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a),
+class AS (SELECT node, min(other) AS class_id FROM reach GROUP BY node), degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT c.node AS doc_id, c.class_id, coalesce(d.n, 0)::BIGINT AS n_links FROM class c LEFT JOIN degree d ON d.a = c.node
+"""
+
 MIXING = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
@@ -62,4 +76,4 @@ FROM b WINDOW w AS (PARTITION BY payload_digest)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_cover_tree_pairs": COVER_TREE, "op8_source_mixing": MIXING, "op10_warc_packages": WARC}
+    return {"op3_chosen_path_join": CHOSEN_PATH, "op6_cover_tree_pairs": COVER_TREE, "op8_source_mixing": MIXING, "op10_warc_packages": WARC}

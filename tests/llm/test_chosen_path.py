@@ -110,6 +110,18 @@ def test_whole_table(spark, sf):
     assert any(compare(spark.read.parquet(f"{sf}/documents.parquet"), op3_chosen_path_join(spark, sf)))
 
 
+def test_sql_says_the_same(sf):
+    import duckdb
+
+    from eventframe.llm.oracles import CHOSEN_PATH
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    ids, texts = zip(*con.execute("SELECT doc_id, text FROM documents ORDER BY doc_id").fetchall())
+    links, classes = brute(list(ids), list(texts))
+    assert sorted(con.execute(CHOSEN_PATH).fetchall()) == sorted(zip(ids, classes, links))
+
+
 def test_tokens_estimate_similarity():
     rng = np.random.default_rng(0)
     for n in (12, 200, 600):
