@@ -22,13 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import cut, shared_dir
 
 DATA, INDEX = "archive/data.warc", "indexes/index.cdxj"
 #: Limits from which ZIP fields move to ZIP64 records.
 MAX16, MAX32 = 0xFFFF, 0xFFFFFFFF
 #: The text writer ends a file with this byte; it is the package's comment.
 COMMENT = b"\n"
+#: A list of so many shared payloads (some 100 bytes each) may be broadcast; a longer one is joined by shuffle.
+BROADCAST_ROWS = 100_000
 
 
 class ArchiveError(ValueError):
@@ -205,29 +207,32 @@ def read_package(read: Callable[[int, int], bytes], size: int) -> Iterator[tuple
 # ---------------------------------------------------------------- Spark
 
 
-def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", revisit_bytes: int = 0, package_bytes: int = 8 << 20) -> None:
+def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", revisit_bytes: int = 0, package_bytes: int = 4 << 20) -> None:
     """Writes a record per row of pages into packages of about package_bytes in folder, which must be new.
 
     The payload is the html in UTF-8; null is empty. Of rows with equal payloads of at least revisit_bytes bytes the one with the smallest
     id is a response and the others are revisits of it (ids that repeat: one of the rows; null ids come last); smaller payloads are all responses. The
-    smallest id of a payload is found by a map-side minimum of digests; a payload shared by very many pages moves as ids and
-    digests only. Any file system that Spark writes to will do: packages go through its text writer, as one row each.
+    smallest id of a payload is found from digests and ids alone, combined before the shuffle; payloads move only where the list of
+    shared ones is too long to broadcast. Any file system that Spark writes to will do: packages go through its text writer, as one row each.
     """
     base = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.encode(F.coalesce(F.col(html_col).cast("string"), F.lit("")), "UTF-8").alias("payload"))
-    base = base.withColumn("digest", F.sha1("payload"))
-    can = F.length("payload") >= revisit_bytes
-    low = base.where(can).groupBy("digest").agg(F.min("id").alias("low"), F.count("*").alias("n"))
-    shared = low.where("n > 1").select(F.col("digest").alias("d"), "low")
-    # rows that tie on the smallest id: the first by a number among them alone
-    ties = base.where(can).join(shared, (F.col("digest") == F.col("d")) & F.col("id").eqNullSafe(F.col("low"))).groupBy("d").agg(F.count("*").alias("ties")).where("ties > 1").select(F.col("d").alias("td"))
-    marked = base.join(shared, (F.col("digest") == F.col("d")) & can, "left").join(ties, F.col("digest") == F.col("td"), "left")
-    first = F.col("d").isNull() | (F.col("id").eqNullSafe(F.col("low")) & F.col("td").isNull())
-    plain = marked.where(F.col("td").isNull() | ~F.col("id").eqNullSafe(F.col("low"))).select("id", "url", "payload", (~first).alias("revisit"), "low")
-    from pyspark.sql import Window
-
-    tied = marked.where(F.col("td").isNotNull() & F.col("id").eqNullSafe(F.col("low"))).withColumn("k", F.row_number().over(Window.partitionBy("digest").orderBy("url")))
-    tied = tied.select("id", "url", "payload", (F.col("k") > 1).alias("revisit"), "low")
-    rows = plain.unionByName(tied)
+    base = base.withColumn("digest", F.when(F.length("payload") >= revisit_bytes, F.sha1("payload")))
+    # payloads that occur more than once, with the smallest id and how often that id has the payload
+    each = base.where("digest is not null").select("digest", "id").groupBy("digest", "id").agg(F.count("*").alias("n"))
+    shared = each.groupBy("digest").agg(F.sum("n").alias("rows"), F.min("id").alias("least"), F.min(F.struct(F.col("id").isNull(), "id", "n"))["n"].alias("ties"))
+    shared = cut(shared.where("rows > 1").select(F.col("digest").alias("d"), F.col("least").alias("low"), "ties"))
+    n_shared = shared.count()
+    known = F.broadcast(shared) if n_shared <= BROADCAST_ROWS else shared
+    marked = base.join(known, F.col("digest") == F.col("d"), "left") if n_shared else base.select("*", F.lit(None).cast("string").alias("d"), F.lit(None).cast("long").alias("low"), F.lit(0).alias("ties"))
+    smallest = F.col("id").eqNullSafe(F.col("low"))
+    rows = marked.select("id", "url", "payload", (F.col("d").isNotNull() & ~smallest).alias("revisit"), "low")
+    if shared.where("ties > 1").limit(1).count():  # rows that repeat the smallest id: the first by url among them alone
+        from pyspark.sql import Window
+
+        tied = F.col("d").isNotNull() & smallest & (F.col("ties") > 1)
+        number = F.row_number().over(Window.partitionBy("digest").orderBy("url"))
+        again = marked.where(tied).withColumn("k", number).select("id", "url", "payload", (F.col("k") > 1).alias("revisit"), "low")
+        rows = marked.where(~tied).select("id", "url", "payload", (F.col("d").isNotNull() & ~smallest).alias("revisit"), "low").unionByName(again)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0

@@ -84,8 +84,10 @@ def brute(rows, least):
     return sorted(out, key=str)
 
 
+@pytest.mark.parametrize("broadcast", [100_000, 0])
 @pytest.mark.parametrize("least", [0, 3, 5, 1000])
-def test_round_trip(spark, tmp_path, clashing, least):
+def test_round_trip(spark, tmp_path, clashing, monkeypatch, least, broadcast):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", broadcast)
     df = clashing(spark.createDataFrame(ROWS, "page_id long, url string, html string").repartition(3))
     back = warc.archive_round_trip(df, f"file://{tmp_path}/w", revisit_bytes=least, package_bytes=700).collect()
     assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in back), key=str) == brute(ROWS, least)
