@@ -23,8 +23,11 @@ MALE = r"Mr\.?|Herrn?|Monsieur|Señor|Sr\.|Don|Господин|г-н"
 FEMALE = r"Mrs\.?|Ms\.?|Miss|Frau|Madame|Mme\.?|Señora|Sra\.|Señorita|Doña|Госпожа|г-жа"
 EITHER = r"Dr\.?|Prof\.?"
 NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{MALE}|{FEMALE}|{EITHER}) \p{{Lu}}\p{{Ll}}{{1,30}}(?: \p{{Lu}}\p{{Ll}}{{1,30}}){{0,2}}(?!\p{{L}})"
-ENTITY = "|".join(f"(?:{p})" for p in (EMAIL, IBAN, SSN, PHONE, CARD, IPV4, NAME))
+#: All of them; one look at the next character rules out most places for most kinds.
+ENTITY = f"(?:{EMAIL})|(?=[A-ZГг])(?:{IBAN}|{NAME})|(?=[+(0-9])(?:{SSN}|{PHONE}|{CARD}|{IPV4})"
 KINDS = ("email", "iban", "ssn", "phone", "card", "ip", "name")
+#: Names in these scripts are made of syllables; others keep their shape.
+LETTERS = r"^\p{IsLatin}+$|^\p{IsCyrillic}+$"
 #: Surrogate names end by gender; a stem is made of syllables of the name's script.
 ENDINGS = {"latin": {"m": "on us er an ek as ard in".split(), "f": "a ia elle ina ette anne ea ora".split(), "l": "son ström ley mann ini ez ard ow".split()}}
 ENDINGS["cyrillic"] = {"m": "ан ил ор ей ир ем им ад".split(), "f": "а ия ина ела ора ена ая уша".split(), "l": "ов ин ский ко ев ук ян ич".split()}
@@ -34,6 +37,11 @@ VOWELS = {"latin": "a e i o u ai ea io".split(), "cyrillic": "а е и о у я
 BROADCAST_ROWS = 20_000
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value evaluated once: expressions that use a value often would repeat it otherwise."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def kind_of(e: Column) -> Column:
     first = lambda p: e.rlike(f"^(?:{p})$")
     digits = F.regexp_replace(e, r"\D", "")
@@ -91,7 +99,9 @@ def reshape(h: Column, s: Column) -> Column:
     chars = F.split(s, "(?!^)(?!$)")
 
     def swap(c, i):
-        n = draw(h, i, 1_000_003)
+        return let(draw(h, i, 1_000_003), lambda n: replaced(c, n))
+
+    def replaced(c, n):
         letter = lambda base, size: F.chr(n % size + base)
         other = lambda base, size: F.decode(F.unhex(F.lpad(F.hex(n % size + base), 4, "0")), "UTF-16BE")
         return (
@@ -123,28 +133,35 @@ def person(h: Column, role: Column, script: Column) -> Column:
 
 def surrogate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
     """The stand-in of a normalised entity, normalised likewise: the entity's attempt-th."""
-    h = secret(key, kind, norm, attempt)
+    return let(secret(key, kind, norm, attempt), lambda h: drawn(h, kind, norm))
+
+
+def drawn(h: Column, kind: Column, norm: Column) -> Column:
+    """The stand-in that the pseudo-random digits h give."""
     n = F.length(norm)
     local, domain = F.substring_index(norm, "@", 1), F.substring_index(norm, "@", -1)
     host = F.substring_index(domain, ".", 1)
     email = F.concat(reshape(h, local), F.lit("@"), reshape(F.sha2(h, 256), F.rpad(host, 8, "q")), F.lit(".example."), pick(h, 9, ["com", "net", "org"]))
     body = F.concat(F.substr(norm, F.lit(1), F.lit(1)), reshape(h, F.substr(norm, F.lit(2), n - 2)))
-    card = F.concat(body, ((10 - luhn(F.concat(body, F.lit("0")))) % 10).cast("int").cast("string"))
+    card = let(body, lambda x: F.concat(x, ((10 - luhn(F.concat(x, F.lit("0")))) % 10).cast("int").cast("string")))
     phone = F.concat(F.substr(norm, F.lit(1), F.lit(1)), reshape(h, F.substr(norm, F.lit(2), n - 1)))
     octet = lambda i, low, size: (draw(h, i, size) + low).cast("string")
     ip = F.concat_ws(".", octet(0, 1, 223), octet(3, 0, 256), octet(6, 0, 256), octet(9, 1, 254))
-    bban = reshape(h, F.substr(norm, F.lit(5)))
     country = F.substr(norm, F.lit(1), F.lit(2))
-    check = 98 - mod97(F.concat(bban, country, F.lit("00")))
-    iban = F.concat(country, F.lpad(check.cast("int").cast("string"), 2, "0"), bban)
+    check = lambda x: 98 - mod97(F.concat(x, country, F.lit("00")))
+    iban = let(reshape(h, F.substr(norm, F.lit(5))), lambda x: F.concat(country, F.lpad(check(x).cast("int").cast("string"), 2, "0"), x))
     script = F.when(norm.rlike(r"\p{IsCyrillic}"), F.lit("cyrillic")).otherwise(F.lit("latin"))
-    name = F.when(norm.rlike(r"^[\p{IsLatin}]+$|^[\p{IsCyrillic}]+$"), person(h, F.substr(kind, F.lit(6)), script)).otherwise(reshape(h, norm))
-    return F.when(kind == "email", email).when(kind == "card", card).when(kind.isin("phone", "ssn"), F.when(kind == "phone", phone).otherwise(reshape(h, norm))).when(kind == "ip", ip).when(kind == "iban", iban).otherwise(name)
+    name = person(h, F.substr(kind, F.lit(6)), script)
+    known = F.when(kind == "email", email).when(kind == "card", card).when(kind == "phone", phone).when(kind == "ip", ip).when(kind == "iban", iban)
+    return known.when(kind.startswith("name") & norm.rlike(LETTERS), name).otherwise(reshape(h, norm))
 
 
 def units(e: Column) -> Column:
     """The units of a detected entity as (kind, norm): itself, or the parts of a name, each by its role; none if invalid."""
-    kind = kind_of(e)
+    return let(kind_of(e), lambda kind: parts_of(kind, e))
+
+
+def parts_of(kind: Column, e: Column) -> Column:
     parts = F.split(e, " ")
     gender = F.when(e.rlike(f"^(?:{MALE}) "), F.lit("name_m")).when(e.rlike(f"^(?:{FEMALE}) "), F.lit("name_f")).otherwise(F.lit("name_n"))
     names = F.transform(
@@ -213,8 +230,9 @@ def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = "eventframe
             made = lambda u: F.coalesce(F.element_at(F.col("_moved"), F.concat_ws("\x1f", u["kind"], u["norm"])), inline(u))
         else:
             made = inline
-        each = lambda e: F.struct(F.get(units(e)["kind"], 0).alias("kind"), stand_in(e, units(e)["kind"], F.transform(units(e), made)).alias("new"))
-        found = found.withColumn("_new", F.transform("_found", each)).drop("_moved")
+        each = lambda e: let(units(e), lambda u: F.struct(e.alias("e"), u["kind"].alias("k"), F.transform(u, made).alias("m")))
+        new = lambda s: F.struct(F.get(s["k"], 0).alias("kind"), stand_in(s["e"], s["k"], s["m"]).alias("new"))
+        found = found.withColumn("_new", F.transform(F.transform("_found", each), new)).drop("_moved")
     else:
         # beyond that size: join the distinct mentions with the moved units, and the texts with their mentions, by shuffle
         mention = found.select(F.explode("_found").alias("e")).distinct().withColumn("u", units(F.col("e")))
