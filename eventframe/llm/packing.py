@@ -22,8 +22,8 @@ ODD_WHITE = re.compile("[\x1c-\x1f]")
 PLAIN = re.compile("[A-Za-z\u00df-\u00f6\u00f8-\u00ff\u00c0-\u00d6\u00d8-\u00de]+")
 #: Marks that make one piece together, none of which begins a contraction.
 MARKS = re.compile(r"[.,;:!?*$%&#]+")
-#: Words in each of the two generations of the cache: some 150 MB at most.
-CACHE_WORDS = 700_000
+#: Words in each of the two generations of the cache: some 100 MB at most.
+CACHE_WORDS = 450_000
 
 
 class WordTokenizer:
