@@ -143,3 +143,19 @@ def test_functions(spark):
     r = df.select(E.where(F.col("x"), F.col("m")).alias("w"), E.pairs(F.col("x")).alias("p"), E.norm(F.col("x")).alias("n"), E.delta_phi(F.lit(3.0), F.lit(-3.0)).alias("d"), E.invariant_mass(*[F.lit(v) for v in (10.0, 0.0, 0.0, 10.0, 0.0, math.pi)]).alias("mass")).first()
     assert r.w == [1, 3] and [(s.a, s.b) for s in r.p] == [(1, 2), (1, 3), (2, 3)]
     assert r.n == pytest.approx(math.sqrt(14)) and r.d == pytest.approx(6 - 2 * math.pi) and r.mass == pytest.approx(20)
+
+
+def test_stream_windows_with_watermark(spark, sf):
+    """Tumbling and session windows over a stream of files; what the watermark has passed is emitted once."""
+    from pyspark.sql import functions as F
+
+    from eventframe.streaming import drain, sessions, stream_events, tumbling, with_time
+
+    timed = lambda: with_time(stream_events(spark, folder(spark, sf, "events"), "ts_us long, user_id long, value double"), "ts_us")
+    e = scan(spark, sf, "events", ["ts_us", "user_id", "value"]).withColumn("ts", F.timestamp_micros("ts_us"))
+    want = {(r.window.start, r.n) for r in e.groupBy(F.window("ts", "1 day")).agg(F.count("*").alias("n")).collect()}
+    got = drain(tumbling(timed(), "1 day")).collect()
+    assert {(r.window.start, r.n) for r in got} <= want and len(want) - 1 <= len(got) == len({r.window.start for r in got})
+    by_user = {(r.user_id, r.session_window.start, r.n) for r in e.groupBy("user_id", F.session_window("ts", "2 hours")).agg(F.count("*").alias("n")).collect()}
+    rows = drain(sessions(timed(), "2 hours", "user_id")).collect()
+    assert rows and {(r.user_id, r.session_window.start, r.n) for r in rows} <= by_user
