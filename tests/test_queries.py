@@ -145,8 +145,8 @@ def test_functions(spark):
     assert r.n == pytest.approx(math.sqrt(14)) and r.d == pytest.approx(6 - 2 * math.pi) and r.mass == pytest.approx(20)
 
 
-def test_stream_windows_with_watermark(spark, sf):
-    """Tumbling and session windows over a stream of files; what the watermark has passed is emitted once."""
+def test_stream_windows(spark, sf):
+    """Tumbling and session windows over a stream of files, against the same over a scan."""
     from pyspark.sql import functions as F
 
     from eventframe.streaming import drain, sessions, stream_events, tumbling, with_time
@@ -154,8 +154,34 @@ def test_stream_windows_with_watermark(spark, sf):
     timed = lambda: with_time(stream_events(spark, folder(spark, sf, "events"), "ts_us long, user_id long, value double"), "ts_us")
     e = scan(spark, sf, "events", ["ts_us", "user_id", "value"]).withColumn("ts", F.timestamp_micros("ts_us"))
     want = {(r.window.start, r.n) for r in e.groupBy(F.window("ts", "1 day")).agg(F.count("*").alias("n")).collect()}
-    got = drain(tumbling(timed(), "1 day")).collect()
-    assert {(r.window.start, r.n) for r in got} <= want and len(want) - 1 <= len(got) == len({r.window.start for r in got})
+    assert {(r.window.start, r.n) for r in drain(tumbling(timed(), "1 day"), "complete").collect()} == want
     by_user = {(r.user_id, r.session_window.start, r.n) for r in e.groupBy("user_id", F.session_window("ts", "2 hours")).agg(F.count("*").alias("n")).collect()}
-    rows = drain(sessions(timed(), "2 hours", "user_id")).collect()
-    assert rows and {(r.user_id, r.session_window.start, r.n) for r in rows} <= by_user
+    assert {(r.user_id, r.session_window.start, r.n) for r in drain(sessions(timed(), "2 hours", "user_id"), "complete").collect()} == by_user
+
+
+def test_late_events_are_dropped(spark, tmp_path):
+    """What the watermark has passed is emitted once, and what comes behind it no more."""
+    from eventframe.streaming import stream_events, tumbling, with_time
+
+    eventframe.register(spark)
+    minute = 60_000_000
+
+    def put(*minutes):
+        rows = spark.createDataFrame([(m * minute, 1.0) for m in minutes], "ts_us long, value double").coalesce(1)
+        rows.write.format("root").mode("append").save(str(tmp_path / "in"))
+
+    put(0, 1, 7)
+    made = tumbling(with_time(stream_events(spark, str(tmp_path / "in"), "ts_us long, value double"), "ts_us", "5 minutes"), "10 minutes")
+    q = made.writeStream.format("memory").queryName("late").option("checkpointLocation", str(tmp_path / "c")).outputMode("append").start()
+    try:
+        q.processAllAvailable()
+        put(60)
+        q.processAllAvailable()
+        put(3, 61)  # 3 is behind the watermark by now
+        q.processAllAvailable()
+        put(120)
+        q.processAllAvailable()
+        rows = {r.at // minute: r.n for r in spark.table("late").selectExpr("unix_micros(window.start) AS at", "n").collect()}
+    finally:
+        q.stop()
+    assert rows[0] == 3 and rows.get(60, 2) == 2
