@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..sources.api import read_events, register
 from ..sources.paths import local_path
 
-us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+#: Microseconds of a time stamp without zone, whatever the session's time zone.
+us = lambda c: F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01', CAST({c} AS TIMESTAMP_NTZ))")
 code = lambda c: F.ascii(F.col(c)).cast("tinyint")
 
 
@@ -90,7 +91,7 @@ def workspace(spark: SparkSession) -> str:
 def folder(spark: SparkSession, sf_dir: str, name: str) -> str:
     """The folder of a fixture; written if it isn't there."""
     stamps = [(f, os.stat(os.path.join(sf_dir, f)).st_mtime_ns) for f in sorted(os.listdir(sf_dir))] if os.path.isdir(sf_dir) else []
-    key = hashlib.sha256(repr((os.path.abspath(sf_dir), stamps, "v1")).encode()).hexdigest()[:16]
+    key = hashlib.sha256(repr((os.path.abspath(sf_dir), stamps, "v2")).encode()).hexdigest()[:16]
     path = os.path.join(workspace(spark), f"eventframe-fixtures-{os.getuid()}", key, name)
     if not os.path.exists(os.path.join(path, "_DONE")):
         register(spark)

@@ -229,8 +229,8 @@ def math_functions(spark, sf):
 
 @query("SELECT year(o_orderdate)::INT AS y, month(o_orderdate)::INT AS m, count(*) AS n FROM orders GROUP BY 1, 2")
 def date_functions(spark, sf):
-    ts = F.timestamp_micros("o_order_us")
-    return scan(spark, sf, "orders", ["o_order_us"]).groupBy(F.year(ts).alias("y"), F.month(ts).alias("m")).agg(F.count("*").alias("n"))
+    day = F.date_from_unix_date(F.floor(F.col("o_order_us") / DAY).cast("int"))
+    return scan(spark, sf, "orders", ["o_order_us"]).groupBy(F.year(day).alias("y"), F.month(day).alias("m")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT upper(p_brand) AS brand, length(p_name)::INT AS len, count(*) AS n FROM part JOIN lineitem ON p_partkey = l_partkey GROUP BY 1, 2")
