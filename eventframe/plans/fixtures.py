@@ -85,7 +85,7 @@ def workspace(spark: SparkSession) -> str:
     """The shared folder of the cluster where it is a local or mounted one; a temporary folder in local mode only."""
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     own = local_path(shared) if shared else None
-    if own is None and not spark.sparkContext.master.startswith("local["):
+    if own is None and spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("event files need a mounted folder that all executors share; name one in spark.checkpoint.dir")
     return own or tempfile.gettempdir()
 
