@@ -128,8 +128,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
-        for batch in batches:
-            texts = [x.as_py() or "" for x in batch.column(1)]
+        for part in (batch.slice(lo, 256) for batch in batches for lo in range(0, batch.num_rows, 256)):
+            texts = [x.as_py() or "" for x in part.column(1)]
             lettered = [bool(m.languages) and has_letter(x) for x in texts]
             s = score_texts([x if ok else "" for x, ok in zip(texts, lettered)], m)
             lang, score = [], []
@@ -137,7 +137,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 best = int(row.argmax()) if ok else -1
                 lang.append(m.languages[best] if ok else "und")
                 score.append(1.0 / float(np.exp(np.maximum(row - row[best], -700.0)).sum()) if ok else 0.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang), pa.array(score, pa.float64())], ["id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["id", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double").select(F.col("id").alias(id_col), "lang_pred", "score")
