@@ -26,6 +26,10 @@ FAN = 2
 #: A list of so many keys may be broadcast; a longer one is joined by shuffle.
 BROADCAST_ROWS = 100_000
 LEVELS = 2
+#: The recursion in memory: places per node, levels, and rows that are not split further.
+SPLIT_FAN, SPLIT_DEPTH, SPLIT_ROWS = 4, 6, 256
+#: Stops the search for the number of runs.
+MOST_RUNS = 1000
 #: Sets of at least this many shingles get one-permutation tokens; those of up to 5/4 of it independent ones (in between, both, since
 #: linked sets differ in size by at most the threshold).
 DENSE = 256
@@ -51,12 +55,33 @@ def bin_tokens(s: np.ndarray) -> np.ndarray:
     return mix(values).astype(np.uint32)
 
 
-def runs_for(threshold: float, recall: float) -> int:
-    """Runs after which a pair at the threshold has met with this probability."""
-    meets = 1.0
-    for _ in range(LEVELS):
-        meets = 1 - (1 - threshold * meets) ** FAN
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - meets)))
+def missed(similarity: float, runs: int, least: int) -> float:
+    """Bound on the probability that a pair of this similarity is in no candidate group, where all of its buckets are split on in
+    memory to the last level. All runs look at the same tokens, so it is the mean over the number of those that agree."""
+    total = 0.0
+    for k in range(TOKENS + 1):
+        agree, meets = k / TOKENS, 1.0
+        for fan in [SPLIT_FAN] * SPLIT_DEPTH + [FAN] * LEVELS:
+            meets = 1 - (1 - agree * meets) ** fan
+        total += math.comb(TOKENS, k) * similarity**k * (1 - similarity) ** (TOKENS - k) * (1.0 if k < least else (1 - meets) ** runs)
+    return total
+
+
+def least_for(threshold: float, recall: float, slack: float) -> int:
+    """Sketch bytes that must agree: as slack says, or fewer where that alone would lose over half of what recall allows."""
+    least, lost = 0, math.comb(TOKENS, 0) * (1 - threshold) ** TOKENS
+    while least < TOKENS and lost <= (1 - recall) / 2:
+        least += 1
+        lost += math.comb(TOKENS, least) * threshold**least * (1 - threshold) ** (TOKENS - least)
+    return min(least, math.ceil((threshold - slack) * TOKENS))
+
+
+def runs_for(threshold: float, recall: float, least: int = 0) -> int:
+    """Runs after which a pair at the threshold has met, and passed the sketches, with this probability."""
+    runs = 1
+    while missed(threshold, runs, least) > 1 - recall and runs < MOST_RUNS:
+        runs += 1
+    return runs
 
 
 def paths(t: np.ndarray, runs: int, scheme: int) -> np.ndarray:
@@ -96,7 +121,7 @@ def split_on(rows: np.ndarray, sk: np.ndarray, seed: int, depth: int, small: int
         yield rows
         return
     rng = np.random.default_rng(seed)
-    for k in rng.choice(own.shape[1], size=4, replace=False):
+    for k in rng.choice(own.shape[1], size=SPLIT_FAN, replace=False):
         order = np.argsort(own[:, k], kind="stable")
         cuts = np.flatnonzero(np.diff(own[order, k])) + 1
         for part in np.split(order, cuts):
@@ -104,6 +129,17 @@ def split_on(rows: np.ndarray, sk: np.ndarray, seed: int, depth: int, small: int
                 yield from split_on(rows[part], sk, (seed * 16_411 + int(k) * 257 + int(own[part[0], k])) % (1 << 40), depth - 1, small)
 
 
+def bucket_links(key: int, sk: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs of rows of a bucket. The places to split on follow from its key, so that buckets of a pair lose it independently."""
+    left, right = [], []
+    for rows in split_on(np.arange(len(sk)), sk, key % (1 << 40), SPLIT_DEPTH, SPLIT_ROWS):
+        i, j = sketches_link(sk[rows], sk[rows], least)
+        up = i < j
+        left.append(rows[i[up]])
+        right.append(rows[j[up]])
+    return np.concatenate(left or [np.zeros(0, int)]), np.concatenate(right or [np.zeros(0, int)])
+
+
 def forest(ids: pa.Array, root: np.ndarray) -> pa.RecordBatch:
     member = np.flatnonzero(root != np.arange(len(root)))
     return pa.RecordBatch.from_arrays([ids.take(pa.array(member)), ids.take(pa.array(root[member]))], ["a", "b"])
@@ -167,13 +203,14 @@ def jaccard_classes(
     than five words is one shingle. Rows without a word (null, empty or blank texts) link with nothing and are classes of their own.
     Equal texts, and repeated rows, are links too, but are counted from the size of their class and never expanded.
     Null ids are allowed: they are never a class_id unless the class has no other. slack: how far the share of equal
-    sketch bytes may fall short of the threshold (four standard deviations by default).
+    sketch bytes may fall short of the threshold (four standard deviations by default; it is widened where recall needs it).
     No table of documents goes to the driver, buckets over block_rows become pairs of blocks, and so do candidate groups.
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = base.schema["id"].dataType.simpleString()
-    runs, least = runs_for(threshold, recall), math.ceil((threshold - slack) * TOKENS)
+    least = least_for(threshold, recall, slack)
+    runs = runs_for(threshold, recall, least)
     n_keys = runs * FAN**LEVELS
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,13 +258,7 @@ def jaccard_classes(
                 continue
             sid = flat(bucket["sid"])
             sk = byte_rows(flat(bucket["sketch"]), TOKENS)
-            left, right = [], []
-            for rows in split_on(np.arange(n), sk, 1, 6, 256):
-                i, j = sketches_link(sk[rows], sk[rows], least)
-                up = i < j
-                left.append(rows[i[up]])
-                right.append(rows[j[up]])
-            yield forest(sid, min_roots(n, np.concatenate(left), np.concatenate(right)))
+            yield forest(sid, min_roots(n, *bucket_links(bucket["key"][0].as_py(), sk, least)))
 
     edges = modest.repartition("key").sortWithinPartitions("key").mapInArrow(compare, "a binary, b binary")
 

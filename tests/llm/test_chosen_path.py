@@ -154,3 +154,26 @@ def test_local_splits_keep_pairs():
         i, j = C.sketches_link(sk[rows], sk[rows], 40)
         found |= {(int(rows[x]), int(rows[y])) for x, y in zip(i, j) if rows[x] < rows[y]}
     assert len({(k, k + 1) for k in range(0, 900, 2)} & found) >= 445
+
+
+def test_buckets_lose_pairs_independently():
+    rng = np.random.default_rng(4)
+    sk = rng.integers(0, 256, (600, C.TOKENS), dtype=np.uint8)
+    sk[1] = sk[0]
+    sk[1, np.random.default_rng(1).choice(C.TOKENS, size=4, replace=False)] ^= 1  # what every bucket was split on first
+    links = [set(zip(*map(list, C.bucket_links(int(key), sk, 38)))) for key in C.paths(rng.integers(0, 2**32, C.TOKENS, dtype=np.uint32), 4, 0)]
+    assert sum((0, 1) in x for x in links) >= 12
+
+
+def test_runs_include_all_losses():
+    least = C.least_for(0.8, 0.9999, 0.2)
+    assert C.missed(0.8, C.runs_for(0.8, 0.9999, least), least) <= 1e-4
+    assert C.missed(0.8, 4, 39) > 1e-4  # with the sketch filter as it was
+    rng = np.random.default_rng(5)
+    lost = 0
+    for key in range(150):  # buckets of 300 sets in which a pair agrees in 38 of 64 places
+        sk = rng.integers(0, 256, (300, C.TOKENS), dtype=np.uint8)
+        sk[1, :38] = sk[0, :38]
+        i, j = C.bucket_links(key * 1_000_003, sk, least)
+        lost += not ((i == 0) & (j == 1)).any()
+    assert lost <= 20
