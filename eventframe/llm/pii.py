@@ -14,7 +14,9 @@ from .common import cut
 
 #: What is looked for. Possessive and bounded, so that a long run costs linear time.
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,128}+@(?:[\p{L}\p{N}-]{1,63}+\.){1,8}\p{L}{2,24}(?!\p{L})"
-PHONE = r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}(?![\w])|(?<![\w(+-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[.-]\d{4}(?![\w-])"
+NATIONAL = r"(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|\(0\d{1,4}\) ?\d{2,8}(?:[ -]\d{2,8}){0,4}|0\d{1,4}(?: \d{2,8}){1,4}"
+#: A series of 13 digits or more without a plus is left to CARD; the number of digits is checked by kind_of.
+PHONE = rf"(?<![\w+])\+\(?\d(?:[ ./()-]{{0,3}}+\d){{6,14}}(?!\w)|(?<![\w(+.-])(?!\d(?:[ -]?\d){{12}})(?:{NATIONAL})(?![\w-])"
 CARD = r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"
 IPV4 = r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
@@ -50,7 +52,7 @@ def kind_of(e: Column) -> Column:
         .when(e.rlike(r"^\p{L}+\.? |^г-") & ~e.rlike(r"\d"), F.lit("name"))
         .when(e.rlike("^[A-Z]{2}"), F.when(iban_valid(e), F.lit("iban")))
         .when(first(r"\d{3}-\d{2}-\d{4}"), F.lit("ssn"))
-        .when(e.rlike(r"^\+") | first(r"(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[.-]\d{4}"), F.lit("phone"))
+        .when(e.rlike(r"^\+") | first(NATIONAL), F.when(F.length(digits).between(7, 15), F.lit("phone")))
         .when(first(r"(?:\d{1,3}\.){3}\d{1,3}"), F.when(~F.exists(F.split(e, r"\."), lambda x: x.cast("int") > 255), F.lit("ip")))
         .when(F.length(digits) >= 13, F.when(luhn(digits) == 0, F.lit("card")))
     )

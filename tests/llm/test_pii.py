@@ -150,3 +150,15 @@ def test_long_runs_take_linear_time(make_docs):
     texts = ["a" * 200_000, "1" * 200_000, "1 " * 100_000, "a." * 100_000, "+1" * 100_000, "Mr A" * 50_000, "a@" * 100_000, "1." * 100_000, "AB12" * 50_000]
     assert pii.pseudonymise(make_docs(list(enumerate(texts)))).agg(F.sum(F.length("text"))).first()[0]
     assert time.time() - t < 60
+
+
+def test_phone_layouts(make_docs):
+    phones = ["+14155550123", "+49 30 1234567", "+49 151 23456789", "+33 1 23 45 67 89", "555 123 4567", "(030) 123456", "+1 (017) 555-7713", "030 1234567", "01 23 45 67 89", "(415) 555-0123"]
+    rows = pii.pseudonymise(make_docs([(k, f"Call {p} or {p}, now.") for k, p in enumerate(phones)])).collect()
+    for r in rows:
+        assert r.entities_phone == 2 and phones[r.doc_id] not in r.text, r.text
+        assert re.sub(r"\d", "0", r.text) == re.sub(r"\d", "0", f"Call {phones[r.doc_id]} or {phones[r.doc_id]}, now.")
+    same = ["+1 23", "+1234567890123456", "in 2024 100 200", "01.02.2024", "4539148803436468"]
+    assert [r.text for r in pii.pseudonymise(make_docs(list(enumerate(same)))).orderBy("doc_id").collect()] == same
+    after = pii.pseudonymise(make_docs([(1, "+14155550123 20240501")])).first()
+    assert after.entities_phone == 1 and after.text.endswith(" 20240501")
