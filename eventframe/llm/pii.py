@@ -115,6 +115,10 @@ def reshape(h: Column, s: Column) -> Column:
             .when(c.rlike(r"^[\p{IsGreek}&&\p{Lu}]$"), other(0x391, 17))
             .when(c.rlike(r"^\p{IsGreek}$"), other(0x3B1, 17))
             .when(c.rlike(r"^\p{IsHan}$"), other(0x4E00, 8000))
+            .when(c.rlike(r"^[\p{IsArmenian}&&\p{Lu}]$"), other(0x531, 38))
+            .when(c.rlike(r"^\p{IsArmenian}$"), other(0x561, 38))
+            .when(c.rlike(r"^\p{Lu}$"), letter(65, 26))  # scripts without a range of their own get Latin letters
+            .when(c.rlike(r"^\p{L}$"), letter(97, 26))
             .otherwise(c)
         )
 
@@ -191,6 +195,12 @@ def stand_in(e: Column, kinds: Column, made: Column) -> Column:
     return F.when(F.size(made) == 0, e).otherwise(mention)
 
 
+def spare(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
+    """Letters in the place of a stand-in, for entities whose shape has no free one: 20 for a name, else as many as the entity has characters."""
+    letters = F.translate(secret(key, kind, norm, attempt), "0123456789abcdef", "GHIJKLMNOPABCDEF")
+    return F.when(kind.startswith("name"), F.initcap(F.substr(letters, F.lit(1), F.lit(20)))).otherwise(F.substr(letters, F.lit(1), F.length(norm)))
+
+
 def entity_table(docs: DataFrame, text_col: str, key: str, rounds: int = 25) -> DataFrame:
     """The distinct units of the corpus with stand-ins that differ from each other and from all units: kind, norm, attempt, made."""
     mention = docs.select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit(ENTITY), 0)).alias("e"))
@@ -198,14 +208,15 @@ def entity_table(docs: DataFrame, text_col: str, key: str, rounds: int = 25) ->
     space = F.when(F.col("kind").startswith("name"), F.lit("name")).otherwise(F.col("kind"))
     at = cut(unit.withColumn("attempt", F.lit(0)).withColumn("made", surrogate(key, F.col("kind"), F.col("norm"), F.col("attempt"))).withColumn("space", space))
     real = at.select(F.col("space").alias("rs"), F.col("norm").alias("rn")).distinct()
-    for _ in range(rounds):
+    redraw = F.when(F.col("attempt") >= rounds, spare(key, F.col("kind"), F.col("norm"), F.col("attempt"))).otherwise(surrogate(key, F.col("kind"), F.col("norm"), F.col("attempt")))
+    for _ in range(2 * rounds):
         first = at.groupBy(F.col("space").alias("fs"), F.col("made").alias("fm")).agg(F.count("*").alias("n"), F.min(F.struct("attempt", "kind", "norm")).alias("first")).where("n > 1")
         met = at.join(first, (F.col("space") == F.col("fs")) & (F.col("made") == F.col("fm")), "left").join(real, (F.col("space") == F.col("rs")) & (F.col("made") == F.col("rn")), "left")
         lost = F.col("rn").isNotNull() | F.coalesce(F.col("first") != F.struct("attempt", "kind", "norm"), F.lit(False))
         step = met.select("kind", "norm", "space", lost.alias("lost"), F.when(lost, F.col("attempt") + 1).otherwise(F.col("attempt")).alias("attempt"), "made")
         if not step.where("lost").limit(1).count():
             return at
-        at = cut(step.withColumn("made", F.when(F.col("lost"), surrogate(key, F.col("kind"), F.col("norm"), F.col("attempt"))).otherwise(F.col("made"))).drop("lost"))
+        at = cut(step.withColumn("made", F.when(F.col("lost"), redraw).otherwise(F.col("made"))).drop("lost"))
     raise RuntimeError("surrogates still collide")
 
 

@@ -162,3 +162,10 @@ def test_phone_layouts(make_docs):
     assert [r.text for r in pii.pseudonymise(make_docs(list(enumerate(same)))).orderBy("doc_id").collect()] == same
     after = pii.pseudonymise(make_docs([(1, "+14155550123 20240501")])).first()
     assert after.entities_phone == 1 and after.text.endswith(" 20240501")
+
+
+def test_other_cased_scripts_get_stand_ins(make_docs):
+    units = make_docs([(1, "Dr. Արամ met Dr. Ⲁⲃⲅ.")])
+    made = {r.norm: r.made for r in pii.entity_table(units, "text", "k", rounds=3).collect()}
+    assert set(made) == {"Արամ", "Ⲁⲃⲅ"} and not set(made) & set(made.values())
+    assert re.fullmatch("[Ա-Ֆ][ա-ֆ]{3}", made["Արամ"])
