@@ -21,6 +21,8 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: What stands between the separators of a run.
+PART = re.compile(r"[A-Za-z0-9]{20,}")
 DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)", re.ASCII)
 #: Hex digits of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512, and of the shorter common checksums.
 DIGEST_LENGTHS = frozenset({32, 40, 56, 64, 96, 128})
@@ -55,9 +57,9 @@ def excluded(run: str) -> bool:
     """Known digests and identifiers: random for a reason, or made of words or counters."""
     if DIGEST.fullmatch(run) and len(run) in DIGEST_LENGTHS or UUID.fullmatch(run):
         return True
-    letters, digits = sum(c.isalpha() for c in run), sum(c.isdigit() for c in run)
-    if not letters or not digits:
-        return True  # a number, a rule of dashes, or words without a digit
+    letters = sum(c.isalpha() for c in run)
+    if not letters:
+        return True  # a number or a rule of dashes
     # words joined by case or by separators: letters sit in long segments, digits in few
     segments = SEGMENT.findall(run)
     words = sum(len(s) for s in segments if len(s) >= 4 and s[-1].isalpha())
@@ -66,14 +68,24 @@ def excluded(run: str) -> bool:
 
 def method_spans(text: str, taken: list[tuple[int, int, int]], enc, max_ratio: float) -> list[tuple[int, int, int]]:
     found = []
-    for m in RUN.finditer(text):
-        a, b = m.span()
-        if any(s < b and a < e for s, _, e in taken) or excluded(m[0]):
-            continue
-        run = m[0]
+    def dense(run: str) -> bool:
         tokens = sum(len(enc.encode_ordinary(run[i : i + PIECE])) for i in range(0, len(run), PIECE))
-        if len(run) < max_ratio * tokens:
-            found.append((a, 3, b))
+        return not excluded(run) and len(run) < max_ratio * tokens
+
+    for m in RUN.finditer(text):
+        at, rest = m.start(), []
+        for s, _, e in taken:  # what base spans leave of the run
+            if s < m.end() and at < e:
+                rest.append((at, s))
+                at = max(at, e)
+        for a, b in [*rest, (at, m.end())]:
+            run = text[a:b] if b - a >= 20 else ""
+            if not run or DIGEST.fullmatch(run) and len(run) in DIGEST_LENGTHS or UUID.fullmatch(run):
+                continue
+            if dense(run):
+                found.append((a, 3, b))
+            else:  # words joined to a random part dilute it
+                found += [(a + p.start(), 3, a + p.end()) for p in PART.finditer(run) if dense(p[0])]
     return found
 
 

@@ -55,3 +55,11 @@ def test_odd_rows(odd_docs, clashing):
     rows = S.scan_secrets(clashing(odd_docs)).collect()
     assert len(rows) == odd_docs.count() and all(r.spans == [] for r in rows)
     assert S.scan_secrets(odd_docs.limit(0)).collect() == []
+
+
+def test_random_parts_of_runs():
+    enc = S.encoding("byte_bpe_50k.tiktoken")
+    found = lambda t: S.method_spans(t, S.base_spans(t), enc, 1.9)
+    key, letters = "9fK2mQ7xZ4bT1vR8wL3n", "qXzKvWpJhTgRmBcYdNsF"
+    for text in (f"client_authorization={key}", f"api/v2/accounts/credentials/{key}", letters, f"AKIA{'A' * 16}/{key}"):
+        assert any(a <= text.index(text[-20:]) and b == len(text) for a, _, b in found(text)), text
