@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -61,18 +61,6 @@ def sorted_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterato
         yield pa.concat_tables(held)
 
 
-def union_find(n: int) -> tuple[list[int], Callable[[int], int]]:
-    parent = list(range(n))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    return parent, find
-
-
 def min_roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The smallest index reachable from each of 0..n-1 over the given links; vectorised hooking and jumping."""
     root = np.arange(n)
@@ -95,16 +83,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     """(node, root) for each node of an edge; root is the smallest node of its connected component.
 
     Large-star and small-star steps in turn, all as joins and min-aggregations: a node's neighbours are never
-    gathered in a list, so a node with very many links costs no task its memory. Every round is checkpointed.
+    gathered in a list, so a node with very many links costs no task its memory. Nodes with more than 1/2048 of
+    all link ends, 2,048 of them at most, are looked up in a short list, so that a hub's links stay where they are.
+    Every round is checkpointed.
     """
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
-    e = cut(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    before = None
+    e = cut(e.select(F.when(F.col("u") > F.col("v"), F.col("u")).otherwise(F.col("v")).alias("u"), F.when(F.col("u") > F.col("v"), F.col("v")).otherwise(F.col("u")).alias("v")).distinct())
+    before, size = None, e.count()
     for _ in range(rounds):
         # large star: link every larger neighbour of u to the smallest of u and its neighbours
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-        large = e.join(low, e.v == low.k).select("u", F.col("m").alias("v")).where("u <> v").distinct()
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("ends"))
+        low = low.select(F.col("u").alias("k"), F.when(F.col("m") < F.col("u"), F.col("m")).otherwise(F.col("u")).alias("m"), (F.col("ends") * 2048 > 2 * size).alias("hub"))
+        hubs, others = F.broadcast(low.where("hub")), low.where("not hub")
+        large = e.join(hubs, e.v == F.col("k")).select("u", "m").unionByName(e.join(hubs, e.v == F.col("k"), "left_anti").join(others, F.col("v") == F.col("k")).select("u", "m"))
+        large = large.select("u", F.col("m").alias("v")).where("u <> v").distinct()
         # small star: link the smaller neighbours of u, and u, to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m")
         small = large.join(low, large.u == low.k).select(
@@ -114,7 +107,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         state = e.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.bit_xor(F.xxhash64("u", "v"))).first()
         if state == before:
             break
-        before = state
+        before, size = state, state[0]
     else:
         raise RuntimeError("connected components did not settle")
     roots = e.select(F.col("u").alias("node"), F.col("v").alias("root"))

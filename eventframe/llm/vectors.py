@@ -33,3 +33,13 @@ def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
         values = values.chunk(0) if values.num_chunks else pa.array([], column.type)
     flat = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(values), -1) if len(values) else flat.reshape(0, 0)
+
+
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Each row by a power of two, so that squares neither overflow nor vanish; cosines stay the same."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0.0))[1][:, None])
+
+
+def units(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
+    return x / np.linalg.norm(x, axis=1)[:, None]

@@ -15,22 +15,46 @@ def cloud(n, d, groups, seed=0):
     return x
 
 
-@pytest.mark.parametrize("n,d,groups", [(1, 4, []), (5, 3, [3]), (300, 8, [50, 60, 20]), (700, 64, [300, 100, 30]), (200, 2, [20])])
+@pytest.mark.parametrize("n,d,groups", [(1, 4, []), (5, 3, [3]), (300, 8, [50, 60, 20]), (700, 64, [300, 100, 30]), (200, 2, [20]), (2500, 16, [900, 5])])
 def test_links_are_exact(n, d, groups):
     x, y = cloud(n, d, groups), cloud(max(1, n // 2), d, [n // 4], 1)
     y[: n // 8] = x[: n // 8]
-    for other in (None, y):
-        nx, ny, a, b = cover_tree.threshold_links(x, other, 0.98)
+    wx, wy = np.arange(n) % 3 + 1, np.arange(len(y)) % 2 + 1
+    for other, w in ((None, wx), (y, wy)):
+        tree = cover_tree.CoverTree(cover_tree.units(x))
+        again = cover_tree.CoverTree(tree.u, np.arange(n), tree.top)  # a tree set up again from its order
+        assert all((a == b).all() for a, b in zip(tree.starts, again.starts)) and len(tree.starts) == len(again.starts)
+        links, _ = cover_tree.threshold_links(x, other, 0.98, wx, None if other is None else wy, tx=tree)
         z = x if other is None else other
         link = (x @ z.T) / np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(z, axis=1)) >= 0.98
         if other is None:
             np.fill_diagonal(link, False)
-        else:
-            assert (ny == link.sum(0)).all()
-        assert (nx == link.sum(1)).all()
+        want = link @ w if other is None else np.r_[link @ w, wx @ link]
+        assert (links.sums == want).all()
         i, j = np.nonzero(link)
-        off = 0 if other is None else n
-        assert (min_roots(n + len(y), i, off + j) == min_roots(n + len(y), a, off + b)).all()
+        assert (min_roots(len(want), i, (0 if other is None else n) + j) == links.roots()).all()
+
+
+def test_distances_are_computed_on_demand():
+    """On clustered rows far fewer distances than pairs, the trees' own included; far from all pairs even across blocks."""
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.standard_normal((200, 32)), 30, axis=0) + 0.02 * rng.standard_normal((6000, 32))
+    y = np.repeat(rng.standard_normal((150, 32)), 30, axis=0) + 0.02 * rng.standard_normal((4500, 32))
+    _, asked = cover_tree.threshold_links(x, None, 0.98)
+    assert asked < len(x) * (len(x) - 1) / 2 / 6
+    _, asked = cover_tree.threshold_links(x, y, 0.98)
+    assert asked < len(x) * len(y) / 6
+
+
+def test_reach_holds_every_border_pair():
+    x = cover_tree.units(cloud(900, 4, [100]))
+    pivots = cover_tree.choose_pivots(x[::9], 12)
+    home, row, other = cover_tree.reach(x, pivots, 0.2)
+    sent = set(zip(row.tolist(), other.tolist()))
+    i, j = np.nonzero(np.linalg.norm(x[:, None] - x[None], axis=2) <= 0.2)
+    apart = home[i] != home[j]
+    assert len(pivots) == 12 and apart.any() and len(sent) < 900 * 11 / 2
+    assert all((a, home[b]) in sent and (b, home[a]) in sent for a, b in zip(i[apart].tolist(), j[apart].tolist()))
 
 
 def rows_for(spark, x, labels=None, ids=None):
@@ -39,11 +63,13 @@ def rows_for(spark, x, labels=None, ids=None):
     return spark.createDataFrame([(i, None if v is None else [None if c is None else float(c) for c in v], g) for i, v, g in zip(ids, x, labels)], "vec_id long, embedding array<float>, label int")
 
 
-def test_near_vectors(spark, clashing):
-    x = cloud(400, 16, [120, 60]).astype(np.float32)
+@pytest.mark.parametrize("pivots,d", [(64, 16), (8, 4), (1, 16)])
+def test_near_vectors(spark, clashing, pivots, d):
+    x = cloud(400, d, [120, 60]).astype(np.float32)
+    x[200:230] = x[200]  # equal vectors
     labels = np.where(np.arange(400) % 7 == 0, 1, 0)
     df = rows_for(spark, x.tolist(), labels.tolist())
-    got = {r.vec_id: r for r in cover_tree.near_vectors(clashing(df), block_rows=64).collect()}
+    got = {r.vec_id: r for r in cover_tree.near_vectors(clashing(df), block_rows=32, pivots=pivots, pivot_groups=1, sample_rows=128).collect()}
     d = x.astype(np.float64)
     link = ((d @ d.T) / np.outer(np.linalg.norm(d, axis=1), np.linalg.norm(d, axis=1)) >= 0.98) & (labels[:, None] == labels)
     np.fill_diagonal(link, False)
@@ -53,6 +79,13 @@ def test_near_vectors(spark, clashing):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (link[i].sum(), root[i], root[i] == i)
 
 
+def test_doubles_of_extreme_size(spark):
+    x = [[1e200, 1e200], [1e200, 1.01e200], [1e-200, 1e-200], [1.0, -1.0], [1e300, 1e-300], [5e-324, 5e-324]]
+    rows = spark.createDataFrame([(i, v, 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = cover_tree.near_vectors(rows).orderBy("vec_id").collect()
+    assert [(r.n_links, r.component_id) for r in got] == [(3, 0), (3, 0), (3, 0), (0, 3), (0, 4), (3, 0)]
+
+
 def test_near_vectors_odd_rows(spark):
     v = [1.0, 2.0]
     rows = rows_for(spark, [v, v, v, None, [], [0.0, 0.0], [None, 1.0], [float("nan"), 1.0], [float("inf"), 1.0], v, v, v, [1.0]], [0, 0, None, 0, 0, 0, 0, 0, 0, 0, 0, 1, 0], [5, 6, 7, 8, 9, 10, 11, 12, 13, 6, None, 14, 15])
