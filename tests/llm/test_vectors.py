@@ -63,7 +63,7 @@ def rows_for(spark, x, labels=None, ids=None):
     return spark.createDataFrame([(i, None if v is None else [None if c is None else float(c) for c in v], g) for i, v, g in zip(ids, x, labels)], "vec_id long, embedding array<float>, label int")
 
 
-@pytest.mark.parametrize("pivots,d", [(64, 16), (8, 4), (1, 16)])
+@pytest.mark.parametrize("pivots,d", [(12, 16), (8, 4), (1, 16)])
 def test_near_vectors(spark, clashing, pivots, d):
     x = cloud(400, d, [120, 60]).astype(np.float32)
     x[200:230] = x[200]  # equal vectors
@@ -108,14 +108,35 @@ def test_query_near_vectors(spark, sf):
     assert len(rows) == 500 and all(r.kept == (r.vec_id == r.component_id) for r in rows)
 
 
-@pytest.mark.parametrize("r", [0, 3, 17, 40, 64])
-def test_probing_finds_all_within_radius(r):
+@pytest.mark.parametrize("n,r", [(500, 0), (500, 3), (3000, 5), (3000, 11), (500, 40), (500, 80)])
+def test_probing_finds_all_within_radius(n, r):
     rng = np.random.default_rng(1)
-    codes, queries = (rng.integers(0, 1 << 16, (n, 4)).astype(np.uint16) for n in (500, 20))
-    codes[:50] = queries[0] ^ (1 << rng.integers(0, 16, (50, 4))).astype(np.uint16)
-    q, i = hashing_index.SubstringIndex(codes).probe(queries, r)
-    d = np.bitwise_count(queries[:, None, :] ^ codes[None]).sum(2)
-    assert set(zip(q.tolist(), i.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(d <= r))))
+    codes, queries = (rng.integers(0, 1 << 20, (4, k)).astype(np.uint32) for k in (n, 20))
+    codes[:, :50] = queries[:, :1] ^ (1 << rng.integers(0, 20, (4, 50))).astype(np.uint32)
+    hit = np.zeros((20, n), bool)
+    index = hashing_index.SubstringIndex(codes)
+    index.probe(queries, hit, 0, r + 1)
+    d = np.bitwise_count(queries[:, :, None] ^ codes[:, None, :]).astype(int)
+    assert hit[d.sum(0) <= r].all()  # every code within the radius
+    assert (hit == (np.min(d * 4 + np.arange(4)[:, None, None], axis=0) <= r)).all()  # and only what shares a value that near
+    grown = np.zeros((20, n), bool)
+    index.probe(queries, grown, 0, 2)
+    index.probe(queries, grown, 2, r + 1)
+    assert (grown | hit == grown).all() and (r < 2 or (grown == hit).all())
+
+
+def test_probes_are_selective():
+    """Neighbours of clustered rows are found among few of them; of rows without any structure among a part."""
+    for x, most in ((np.repeat(np.random.default_rng(5).standard_normal((300, 32)), 40, axis=0) + 0.3 * np.random.default_rng(6).standard_normal((12_000, 32)), 0.1), (cloud(12_000, 64, []), 0.25)):
+        u, ids = hashing_index.units(x), np.arange(len(x))
+        rotation = hashing_index.fit_rotations(u[::3], 80 * hashing_index.BITS)
+        r = hashing_index.radius_for(u[::3], rotation, 20, len(u))
+        block, q = hashing_index.Block(u, ids, rotation), ids[::240]
+        a, b, _, found = block.top(u[q], q, r, 20, False)
+        s = u[q] @ u.T
+        s[np.arange(len(q)), q] = -1
+        want = {(int(q[i]), int(j)) for i in range(len(q)) for j in np.argsort(-s[i])[:20]}
+        assert len(want & set(zip(a.tolist(), b.tolist()))) >= 0.9 * len(want) and found.mean() <= most * len(x)
 
 
 def recall(rows, x, k, asks):
