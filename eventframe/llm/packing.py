@@ -41,7 +41,6 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(public_tokenizers.path(name))
-        self.full.encode_special_tokens = True
         self.model = self.full.model
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in set(printable)]
@@ -92,7 +91,7 @@ class OpenBins:
 
     def __init__(self, size: int, most: int):
         self.size, self.most, self.open, self.made = size, most, 0, 0
-        self.bits = 0
+        self.bits, self.closed = 0, 0
         self.bins: list[list[int]] = [[] for _ in range(size + 1)]
 
     def _put(self, free: int, b: int) -> None:
@@ -118,7 +117,7 @@ class OpenBins:
             if self.open >= self.most:
                 fullest = (self.bits & -self.bits).bit_length() - 1
                 self._take(fullest)
-                self.open -= 1
+                self.open, self.closed = self.open - 1, self.closed + 1
             free, b = self.size, self.made
             self.made += 1
             self.open += 1
@@ -166,15 +165,16 @@ def pack(
     vocab: str = "word_bpe_49k.json",
     end_id: int = 1,
     size: int = 4096,
-    open_bins: int = 4096,
+    open_bins: int = 64,
     packer_docs: int = 16_384,
     with_ids: bool = False,
 ) -> DataFrame:
     """One row per piece: id_col, piece, start, length, ids_crc32, sequence_id, offset (and ids).
 
-    Pieces go by hash to packers of about packer_docs documents each; a packer streams its pieces, longest first, through
-    open_bins open bins. Only the lengths are needed for that: with_ids moves the ids along. A sequence's offsets are
-    gapless from 0, and reruns give the same sequences. Repeated rows are packed as often as they occur; rows with a null
+    Pieces go by hash to packers of about packer_docs documents each; a packer takes its pieces one by one, in the order of
+    a hash that knows nothing of their lengths, and holds at most open_bins open bins; where none fits and all are open, the
+    fullest closes. Only the lengths are needed for that: with_ids moves the ids along. A sequence's offsets are gapless
+    from 0, and reruns give the same sequences. Repeated rows are packed as often as they occur; rows with a null
     text or id are packed like others. An empty table gives no rows.
     """
     pieces = cut_pieces(docs, id_col, text_col, vocab, end_id, size, with_ids)
@@ -182,7 +182,7 @@ def pack(
     packers = blocks_of(docs.count(), packer_docs)
     extra = ["ids"] if with_ids else []
     dealt = pieces.withColumn("packer", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(packers)))
-    dealt = dealt.repartition(packers, "packer").sortWithinPartitions("packer", F.desc("length"), "ids_crc32", "id", "piece")
+    dealt = dealt.repartition(packers, "packer").sortWithinPartitions("packer", F.xxhash64(F.lit(2), "id", "piece", "ids_crc32"), "id", "piece", "start", "length", "ids_crc32")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, bins = None, None

@@ -135,13 +135,12 @@ def full():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
 def test_word_cache_equals_tokenizer(spark, sf, full):
     t = packing.tokenizer("word_bpe_49k.json")
-    odd = ["", "  ", "a\x1cb \x1f c", "a b c\u0085d​x", "don't I'LL we've 's'", "ÀÉ ßẞ İI ΣΑΣ ſs", "é ́x", "日本語 テスト 한국어", "x,,, y... z?!*** $$$ a.b", "<|endoftext|> <|startoftext|>", "1234 ½ ²", "😀👍🏽", "a" * 500, "Ǆ ŉ ﬁ", "re's.'t,", "\ud83d".encode("utf-16", "surrogatepass").decode("utf-16", "replace")]
+    odd = ["", "  ", "a\x1cb \x1f c", "a b c\u0085d​x", "don't I'LL we've 's'", "ÀÉ ßẞ İI ΣΑΣ ſs", "é ́x", "日本語 テスト 한국어", "x,,, y... z?!*** $$$ a.b", "<|endoftext|> <|startoftext|>", "x <|endoftext|> y", "a,<|endoftext|>b <|ENDOFTEXT|> <|endoftext|", "1234 ½ ²", "😀👍🏽", "a" * 500, "Ǆ ŉ ﬁ", "re's.'t,", "\ud83d".encode("utf-16", "surrogatepass").decode("utf-16", "replace")]
     for text in odd + [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").limit(60).collect()]:
         assert np.frombuffer(t.ids(text), "<u4").tolist() == full(text), text[:80]
 
@@ -191,6 +190,19 @@ def test_packing_small(spark, make_docs, full, bins):
     assert sorted(map(str, rows)) == sorted(map(str, packing.pack(make_docs(docs), size=32, open_bins=bins, packer_docs=100, with_ids=True).collect()))
 
 
+def test_bins_close_in_the_query():
+    """With the query's own parameters, bins close, few sequences are lost by that, and no more bins are open than allowed."""
+    import inspect
+
+    default = {k: v.default for k, v in inspect.signature(packing.pack).parameters.items()}
+    lengths = np.minimum(np.random.default_rng(4).lognormal(6.0, 1.2, default["packer_docs"]).astype(int) + 1, default["size"])
+    bins = packing.OpenBins(default["size"], default["open_bins"])
+    for x in lengths.tolist():
+        bins.place(x)
+        assert bins.open <= default["open_bins"]
+    assert bins.closed > default["open_bins"] and bins.made <= 1.02 * -(-lengths.sum() // default["size"])
+
+
 def test_packing_odd_rows(odd_docs, clashing, full):
     rows = packing.pack(clashing(odd_docs)).collect()
     check_packing(rows, [(r.doc_id, r.text) for r in odd_docs.collect()], full, 4096)
