@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,8 +29,6 @@ DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)", re.ASCII)
 DIGEST_LENGTHS = frozenset({32, 40, 56, 64, 96, 128})
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 SEGMENT = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-#: Longest piece handed to the tokenizer at once; a longer run counts as the sum of its pieces.
-PIECE = 512
 
 
 @lru_cache(maxsize=2)
@@ -67,17 +66,25 @@ def excluded(run: str) -> bool:
 
 
 def method_spans(text: str, taken: list[tuple[int, int, int]], enc, max_ratio: float) -> list[tuple[int, int, int]]:
+    """(start, kind index, end) of what the token test finds beside the spans taken, which are sorted by start."""
+    covered: list[list[int]] = []  # what the spans cover, as intervals apart from each other
+    for s, _, e in taken:
+        if covered and s <= covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], e)
+        else:
+            covered.append([s, e])
     found = []
+
     def dense(run: str) -> bool:
-        tokens = sum(len(enc.encode_ordinary(run[i : i + PIECE])) for i in range(0, len(run), PIECE))
-        return not excluded(run) and len(run) < max_ratio * tokens
+        return not excluded(run) and len(run) < max_ratio * len(enc.encode_ordinary(run))
 
     for m in RUN.finditer(text):
         at, rest = m.start(), []
-        for s, _, e in taken:  # what base spans leave of the run
-            if s < m.end() and at < e:
-                rest.append((at, s))
-                at = max(at, e)
+        for s, e in covered[bisect_right(covered, at, key=lambda c: c[1]) :]:  # what base spans leave of the run
+            if s >= m.end():
+                break
+            rest.append((at, s))
+            at = e
         for a, b in [*rest, (at, m.end())]:
             run = text[a:b] if b - a >= 20 else ""
             if not run or DIGEST.fullmatch(run) and len(run) in DIGEST_LENGTHS or UUID.fullmatch(run):
@@ -98,8 +105,9 @@ def scan_secrets(
     """One row per row of docs: id and spans, an array of (kind, start, end) in code points, end exclusive, sorted by
     start and then by kind.
 
-    Kinds assign, access and hex are pattern matches; random is a run of 20 or more token characters with fewer than
-    max_ratio characters per token, overlapping none of the others and no known digest or identifier. A null or empty
+    Kinds assign, access and hex are pattern matches; random is a run of 20 or more token characters, or what the others leave
+    of one, or else a part of 20 or more letters and digits of it, with fewer than max_ratio characters per token, counted whole
+    at any length, and no known digest or identifier. A null or empty
     text has no spans. Rows are independent: repeated rows each give their own result, and other columns are not read.
     """
 
