@@ -84,9 +84,8 @@ def join_hash(spark, sf):
 
 @query("SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def join_broadcast(spark, sf):
-    n = parquet(spark, sf, "nation").limit(1000)  # a dimension of 25 rows; the limit bounds what is broadcast
-    c = scan(spark, sf, "customer", ["c_custkey", "c_nationkey"])
-    return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select("c_custkey", "n_name")
+    n, c = parquet(spark, sf, "nation").select("n_nationkey", "n_name"), scan(spark, sf, "customer", ["c_custkey", "c_nationkey"])
+    return operators.sized_join(c, n, c.c_nationkey == n.n_nationkey).select("c_custkey", "n_name")
 
 
 @query("SELECT c_custkey, count(o_orderkey) AS n, round(coalesce(sum(o_totalprice), 0), 2) AS spent FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1")
@@ -139,7 +138,7 @@ def asof_join(spark, sf):
     e = scan(spark, sf, "events", ["event_id", "ts_us", "user_id", "type_code"])
     names = parquet(spark, sf, "events").where("event_type = 'purchase'").select("event_id")
     bought = e.join(names, "event_id").groupBy("user_id", "ts_us").agg(F.min("event_id").alias("ref"))
-    return operators.as_of_join(e.select("event_id", "user_id", "ts_us"), bought, "user_id", "ts_us", "ts_us", ["ref"]).select("event_id", "ref")
+    return operators.as_of_join(e.select("event_id", "user_id", "ts_us"), bought, "user_id", "ts_us", "ts_us", ["ref"], width=DAY).select("event_id", "ref")
 
 
 _W = "OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey)"
@@ -187,13 +186,13 @@ def distinct_agg(spark, sf):
     return scan(spark, sf, "lineitem", ["l_flag", "l_partkey", "l_suppkey"]).groupBy("l_flag").agg(F.count_distinct("l_partkey").alias("parts"), F.count_distinct("l_suppkey").alias("suppliers"))
 
 
-@query("SELECT true AS close_count, true AS close_median")
+@query("SELECT count(DISTINCT l_orderkey) AS orders, round(quantile_cont(l_extendedprice, 0.49), 2) AS low, round(quantile_cont(l_extendedprice, 0.51), 2) AS high, true AS close_count, true AS close_median FROM lineitem")
 def approximate_agg(spark, sf):
-    """Whether the sketches lie within five times their stated error of the exact values."""
+    """The exact values, and whether the sketches lie within five times their stated error of them."""
     a = scan(spark, sf, "lineitem", ["l_orderkey", "l_extendedprice"]).agg(
         F.approx_count_distinct("l_orderkey", 0.02).alias("d"), F.count_distinct("l_orderkey").alias("e"), F.percentile_approx("l_extendedprice", 0.5, 1000).alias("m"), F.expr("percentile(l_extendedprice, 0.49)").alias("lo"), F.expr("percentile(l_extendedprice, 0.51)").alias("hi")
     )
-    return a.select((F.abs(F.col("d") - F.col("e")) <= 0.1 * F.col("e")).alias("close_count"), F.col("m").between(F.col("lo"), F.col("hi")).alias("close_median"))
+    return a.select(F.col("e").alias("orders"), F.round("lo", 2).alias("low"), F.round("hi", 2).alias("high"), (F.abs(F.col("d") - F.col("e")) <= 0.1 * F.col("e")).alias("close_count"), F.col("m").between(F.col("lo"), F.col("hi")).alias("close_median"))
 
 
 @query("SELECT o_custkey AS k FROM orders UNION ALL SELECT c_custkey FROM customer")
@@ -206,9 +205,44 @@ def intersect(spark, sf):
     return scan(spark, sf, "orders", ["o_custkey"]).select(F.col("o_custkey").alias("k")).intersect(scan(spark, sf, "customer", ["c_custkey"]).select(F.col("c_custkey").alias("k")))
 
 
-@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 150000")
 def except_(spark, sf):
-    return scan(spark, sf, "customer", ["c_custkey"]).select(F.col("c_custkey").alias("k")).subtract(scan(spark, sf, "orders", ["o_custkey"]).select(F.col("o_custkey").alias("k")))
+    rich = scan(spark, sf, "orders", O).where("o_totalprice > 150000")
+    return scan(spark, sf, "customer", ["c_custkey"]).select(F.col("c_custkey").alias("k")).subtract(rich.select(F.col("o_custkey").alias("k")))
+
+
+@query("SELECT l_partkey AS k FROM lineitem INTERSECT ALL SELECT o_custkey FROM orders")
+def intersect_all(spark, sf):
+    return scan(spark, sf, "lineitem", ["l_partkey"]).select(F.col("l_partkey").alias("k")).intersectAll(scan(spark, sf, "orders", ["o_custkey"]).select(F.col("o_custkey").alias("k")))
+
+
+@query("SELECT o_orderkey, p_partkey FROM orders RIGHT JOIN part ON o_orderkey = p_partkey")
+def join_right(spark, sf):
+    o, p = scan(spark, sf, "orders", ["o_orderkey"]), parquet(spark, sf, "part").select("p_partkey")
+    return o.join(p, o.o_orderkey == p.p_partkey, "right").select("o_orderkey", "p_partkey")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey")
+def sort(spark, sf):
+    return scan(spark, sf, "orders", ["o_orderkey", "o_totalprice"]).orderBy(F.desc("o_totalprice"), "o_orderkey")
+
+
+@query("SELECT l_orderkey, count(*)::INT AS lines, max(CASE WHEN l_linenumber = 1 THEN l_quantity END) AS first, count(*) FILTER (l_quantity > 25)::INT AS large FROM (SELECT l_orderkey, l_linenumber, max(l_quantity) AS l_quantity FROM lineitem GROUP BY 1, 2) GROUP BY 1")
+def map_functions(spark, sf):
+    line = scan(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity"]).groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("l_quantity"))
+    m = line.groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(F.struct(F.col("l_linenumber").cast("int"), "l_quantity"))).alias("m"))
+    return m.select("l_orderkey", F.size(F.map_keys("m")).alias("lines"), F.try_element_at("m", F.lit(1)).alias("first"), F.size(F.map_filter("m", lambda k, v: v > 25)).alias("large"))
+
+
+@query("SELECT epoch_us(time_bucket(INTERVAL 6 HOUR, ts)) AS at, count(*) AS n, round(sum(coalesce(value, 0)), 4) AS total FROM events GROUP BY 1")
+def stream_watermark(spark, sf):
+    """Windows of a stream with a watermark; what it holds back for late events comes with the last batch's state."""
+    from ..streaming import drain, stream_events, tumbling, with_time
+    from .fixtures import folder
+
+    made = drain(tumbling(with_time(stream_events(spark, folder(spark, sf, "events"), "ts_us long, value double"), "ts_us"), "6 hours"), "update")
+    last = made.groupBy("window").agg(F.max_by(F.struct("n", "total"), "n").alias("s"))
+    return last.select(F.unix_micros("window.start").alias("at"), "s.n", F.round("s.total", 4).alias("total"))
 
 
 @query("SELECT l_partkey AS k FROM lineitem EXCEPT ALL SELECT p_partkey FROM part")

@@ -20,7 +20,7 @@ from pyspark.sql.datasource import (
 
 from .options import Options
 from .paths import local_path, resolve
-from .planning import WHOLE, EntryRange, open_tree, plan, plan_file
+from .planning import EntryRange, open_tree, plan, slice_ranges
 from .reading import read_range
 from .schema import leaves, prune, schema_of
 from .writer import parse_types
@@ -53,6 +53,13 @@ class EventSource(DataSource):
         return EventWriter(low["path"], low.get("tree", "Events"), low.get("codec", "zlib"), low.get("types"), schema, overwrite)
 
 
+def read_part(part: EntryRange, options: Options, schema: T.StructType) -> Iterator[pa.RecordBatch]:
+    """The rows of an entry range, or of a slice of a file, which is planned here."""
+    for r in slice_ranges(part, leaves(schema), options.entries_per_partition) if part.stop < 0 else [part]:
+        if r.stop > r.start:
+            yield from read_range(r, schema, options.threads, options.batch_rows)
+
+
 class EventReader(DataSourceReader):
     def __init__(self, options: Options, schema: T.StructType):
         self.options, self.schema = options, schema
@@ -62,12 +69,7 @@ class EventReader(DataSourceReader):
         return made or [EntryRange("", self.options.tree, 0, 0, ())]
 
     def read(self, part: EntryRange) -> Iterator[pa.RecordBatch]:
-        if part.stop == WHOLE:
-            ranges = plan_file(part.file, part.tree, leaves(self.schema), self.options.entries_per_partition)
-            for r in ranges:
-                yield from read_range(r, self.schema, self.options.threads, self.options.batch_rows)
-        elif part.stop > part.start:
-            yield from read_range(part, self.schema, self.options.threads, self.options.batch_rows)
+        yield from read_part(part, self.options, self.schema)
 
 
 class EventStream(DataSourceStreamReader):
@@ -87,11 +89,10 @@ class EventStream(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         seen = set(start["files"])
-        columns = leaves(self.schema)
-        return [r for f in end["files"] if f not in seen for r in plan_file(f, self.options.tree, columns, self.options.entries_per_partition)]
+        return plan([f for f in end["files"] if f not in seen], self.options, self.schema)
 
     def read(self, part: EntryRange) -> Iterator[pa.RecordBatch]:
-        yield from read_range(part, self.schema, self.options.threads, self.options.batch_rows)
+        yield from read_part(part, self.options, self.schema)
 
     def commit(self, end: dict) -> None:
         pass

@@ -119,18 +119,14 @@ class LocalFile:
 
 class RemoteFile:
     def __init__(self, path: str):
-        import threading
-
         from pyarrow import fs
 
         system, inner = fs.FileSystem.from_uri(path)
-        self.file, self.lock = system.open_input_file(inner), threading.Lock()
+        self.file = system.open_input_file(inner)
         self.size = self.file.size()
 
     def read(self, at: int, n: int) -> bytes:
-        with self.lock:
-            self.file.seek(at)
-            return self.file.read(n)
+        return self.file.read_at(n, at)
 
     def close(self) -> None:
         self.file.close()
@@ -149,6 +145,17 @@ class MemoryFile:
         self.data = b""
 
 
+def size_of(path: str) -> int:
+    """Bytes of a file, without opening it."""
+    own = local_path(path)
+    if own is not None:
+        return os.stat(own).st_size
+    from pyarrow import fs
+
+    system, inner = fs.FileSystem.from_uri(path)
+    return system.get_file_info(inner).size or 0
+
+
 def open_file(path: str):
     if path.endswith(".xz"):
         with lzma.open(local_path(path)) as f:

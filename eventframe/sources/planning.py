@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import InputPartition
 
 from .options import Options
+from .paths import size_of
 from .rootio.container import FILES
 from .rootio.trees import Tree
 from .schema import leaves
@@ -47,7 +48,8 @@ def overlap(starts: tuple[int, ...] | list[int], start: int, stop: int) -> tuple
 
 
 #: The end of a range that is a whole file, whatever it holds.
-WHOLE = -1
+#: A file that a task looks at itself is cut into slices of about so many bytes; the k-th of n has start k and stop -n.
+SLICE_BYTES = 64 << 20
 
 
 @dataclass
@@ -75,20 +77,29 @@ def open_tree(path: str, name: str) -> Tree:
 def column_plan(tree: Tree, path: tuple[str, ...]) -> ColumnPlan:
     b = tree.branch(path)
     p, shape = b.primitive, b.shape
-    loose, starts = b.baskets()
-    return ColumnPlan(path, p.name, shape.kind, shape.length, shape.skip, tuple(starts), tuple(loose), tuple(range(len(b.embedded))))
+    loose, starts, kept = b.baskets()
+    return ColumnPlan(path, p.name, shape.kind, shape.length, shape.skip, tuple(starts), tuple(loose), tuple(kept))
 
 
-def plan_file(path: str, name: str, columns: list[tuple[str, ...]], per: int) -> list[EntryRange]:
+def plan_file(path: str, name: str, columns: list[tuple[str, ...]], per: int, first: int = 0, last: int | None = None) -> list[EntryRange]:
+    """Ranges of at most per entries from first to last (by default all)."""
     tree = open_tree(path, name)
-    plans = [column_plan(tree, c) for c in columns]
-    return [EntryRange(path, name, a, min(a + per, tree.entries), tuple(c.trim(a, min(a + per, tree.entries)) for c in plans)) for a in range(0, tree.entries, per)]
+    plans, last = [column_plan(tree, c) for c in columns], tree.entries if last is None else last
+    return [EntryRange(path, name, a, min(a + per, last), tuple(c.trim(a, min(a + per, last)) for c in plans)) for a in range(first, last, per)]
+
+
+def slice_ranges(part: EntryRange, columns: list[tuple[str, ...]], per: int) -> list[EntryRange]:
+    """The entry ranges of a slice of a file, planned by the task that reads them; the slices of a file share out its entries."""
+    n = open_tree(part.file, part.tree).entries
+    return plan_file(part.file, part.tree, columns, per, n * part.start // -part.stop, n * (part.start + 1) // -part.stop)
 
 
 def plan(files: list[str], options: Options, schema: T.StructType) -> list[EntryRange]:
     """All partitions of all files, in order. The driver looks at files in parallel; or, with planning=executor, not at all."""
     if options.planning == "executor" or options.planning == "auto" and len(files) > DRIVER_FILES:
-        return [EntryRange(f, options.tree, 0, WHOLE, ()) for f in files]
+        with ThreadPoolExecutor(max(1, min(PLANNERS, len(files)))) as pool:
+            slices = list(pool.map(lambda f: max(1, -(-size_of(f) // SLICE_BYTES)), files))
+        return [EntryRange(f, options.tree, k, -n, ()) for f, n in zip(files, slices) for k in range(n)]
     columns = leaves(schema)
     with ThreadPoolExecutor(max(1, min(PLANNERS, len(files)))) as pool:
         made = list(pool.map(lambda f: plan_file(f, options.tree, columns, options.entries_per_partition), files))

@@ -75,8 +75,6 @@ class Cursor:
         return self.u2(), None
 
     def close(self, end: int | None, what: str) -> None:
-        """Checks that no more was read than the object has, and moves to its end."""
-        if end is not None:
-            if self.pos > end:
-                raise FormatError(f"{what} was read {self.pos - end} bytes too far")
-            self.pos = end
+        """Checks that all of the object was read, and no more."""
+        if end is not None and self.pos != end:
+            raise FormatError(f"{what} was read {abs(self.pos - end)} bytes {'too far' if self.pos > end else 'short'}")

@@ -83,14 +83,18 @@ def element(kind: str):
         if kind == "TStreamerSTLstring":
             _, inner = c.record()
             out = common(c)
+            c.unpack("ii")  # kinds of container and of content
             c.close(inner, "TStreamerSTL")
         else:
             out = common(c)
             if kind == "TStreamerBase" and version > 2:
                 out.base_version = c.i4()
+            elif kind == "TStreamerSTL":
+                c.unpack("ii")
             elif kind in ("TStreamerBasicPointer", "TStreamerLoop"):
                 c.i4()
                 out.count_name = c.string()
+                c.string()  # the class that has the count
         c.close(end, kind)
         return out
 
@@ -220,10 +224,12 @@ class Decoder:
                 raise FormatError(f"nothing describes class {name}")
             c.pos = end
             return out
+        if version == 0 and end is not None:  # a class without a version has a checksum in its place
+            c.u4()
         info = known.get(version) or known[max(known)]
         for e in info.elements:
-            if end is not None and c.pos >= end and e.type != 0:
-                break
+            if end is not None and c.pos >= end and e.type != 0 and version not in known:
+                break  # described by another version, which has more members
             self._member(e, c, out)
         c.close(end, name)
         return out

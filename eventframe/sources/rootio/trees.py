@@ -27,24 +27,37 @@ class Shape:
     skip: int = 0
 
 
-def basket_table(entries: int, sizes, starts, seeks, write_basket: int, embedded: list[EmbeddedBasket | None]) -> tuple[list[int], list[int]]:
-    """(slots of baskets on disk, entry offsets of all baskets with an end cap).
+def basket_table(entries: int, sizes, starts, seeks, write_basket: int, embedded: list[EmbeddedBasket | None]) -> tuple[list[int], list[int], list[int]]:
+    """(slots of baskets on disk, entry offsets of all baskets with an end cap, embedded baskets in use by number).
 
     A slot holds a basket on disk if it has a place in the file and isn't the one being written. Baskets that are still in
-    the tree's own record follow the last of those. The cap is the number of entries.
+    the tree's own record follow the last of those, but only for entries beyond it: where the baskets on disk hold all
+    entries, embedded ones are left-overs. The cap is the number of entries.
     """
     n = min(len(seeks), len(starts), len(sizes))
-    loose = [i for i in range(n) if seeks[i] != 0 and sizes[i] != 0 and i != write_basket]
-    offsets = [int(starts[i]) for i in loose]
-    kept = [b for b in embedded if b is not None]
+    on_disk = [i for i in range(n) if seeks[i] != 0 and sizes[i] != 0]
+    kept = [k for k, b in enumerate(embedded) if b is not None]
+
+    def end(slots: list[int]) -> int | None:
+        """Where the baskets of these slots end, if the next slot's first entry says so."""
+        if not slots:
+            return 0
+        after = slots[-1] + 1
+        return int(starts[after]) if after < len(starts) and starts[after] > starts[slots[-1]] else None
+
+    if kept and on_disk and (done := end(on_disk)) is not None and done >= entries:
+        kept, write_basket = [], -1
+    loose = [i for i in on_disk if i != write_basket] if kept else on_disk
     if kept:
-        at = entries - sum(b.entries for b in kept)
-        for b in kept:
-            offsets.append(at)
-            at += b.entries
-    if not offsets:
-        return loose, [0]
-    return loose, [*offsets, entries]
+        done = end(loose)
+        least = done if done is not None else int(starts[loose[-1]]) + 1
+        while kept and entries - sum(embedded[k].entries for k in kept) < least:
+            kept.pop(0)
+    offsets, at = [int(starts[i]) for i in loose], entries - sum(embedded[k].entries for k in kept)
+    for k in kept:
+        offsets.append(at)
+        at += embedded[k].entries
+    return loose, [*offsets, entries] if offsets else [0], kept
 
 
 @dataclass
@@ -129,17 +142,18 @@ class Branch:
 
     @property
     def embedded(self) -> list[EmbeddedBasket]:
+        """Those in the tree's own record; baskets() says which are in use."""
         return [b for b in self.raw.get("fBaskets") or [] if isinstance(b, EmbeddedBasket) and b.entries]
 
     @property
     def entries(self) -> int:
         return int(self.raw["fEntries"])
 
-    def baskets(self) -> tuple[list[tuple[int, int]], list[int]]:
-        """((seek, bytes) of the baskets on disk, entry offsets of these and then the embedded ones, with a cap)."""
+    def baskets(self) -> tuple[list[tuple[int, int]], list[int], list[int]]:
+        """((seek, bytes) of the baskets on disk, entry offsets of these and then the embedded ones in use, with a cap, the numbers of these)."""
         r = self.raw
-        loose, offsets = basket_table(self.entries, r["fBasketBytes"], r["fBasketEntry"], r["fBasketSeek"], int(r["fWriteBasket"]) if self.embedded else -1, self.embedded)
-        return [(int(r["fBasketSeek"][i]), int(r["fBasketBytes"][i])) for i in loose], offsets
+        loose, offsets, kept = basket_table(self.entries, r["fBasketBytes"], r["fBasketEntry"], r["fBasketSeek"], int(r["fWriteBasket"]) if self.embedded else -1, self.embedded)
+        return [(int(r["fBasketSeek"][i]), int(r["fBasketBytes"][i])) for i in loose], offsets, kept
 
 
 class Tree:

@@ -56,11 +56,35 @@ def test_overlap_and_trim():
 
 
 def test_basket_table():
-    assert basket_table(9, [96] + [0] * 9, [0, 9] + [0] * 8, [1558] + [0] * 9, 1, []) == ([0], [0, 9])
+    assert basket_table(9, [96] + [0] * 9, [0, 9] + [0] * 8, [1558] + [0] * 9, 1, []) == ([0], [0, 9], [])
     two = [EmbeddedBasket(77, 100, 4000, b"", None), EmbeddedBasket(77, 100, 392, b"", None)]
-    assert basket_table(132_056, [9, 9, 0], [0, 63_832, 127_664], [5, 6, 0], 2, two) == ([0, 1], [0, 63_832, 127_664, 131_664, 132_056])
-    assert basket_table(30, [9, 0, 9], [0, 0, 10], [5, 0, 6], 3, []) == ([0, 2], [0, 10, 30])  # a hole
-    assert basket_table(0, [], [], [], 0, []) == ([], [0])
+    assert basket_table(132_056, [9, 9, 0], [0, 63_832, 127_664], [5, 6, 0], 2, two) == ([0, 1], [0, 63_832, 127_664, 131_664, 132_056], [0, 1])
+    assert basket_table(30, [9, 0, 9], [0, 0, 10], [5, 0, 6], 3, []) == ([0, 2], [0, 10, 30], [])  # a hole
+    assert basket_table(0, [], [], [], 0, []) == ([], [0], [])
+    assert basket_table(9, [0], [0], [0], 0, [EmbeddedBasket(77, 100, 9, b"", None)]) == ([], [0, 9], [0])
+
+
+def test_left_over_embedded_baskets():
+    """Embedded baskets count only for entries beyond those on disk."""
+    old = [EmbeddedBasket(77, 100, 20, b"", None)]
+    assert basket_table(100, [9, 9, 0], [0, 50, 100], [5, 6, 0], 2, old) == ([0, 1], [0, 50, 100], [])
+    assert basket_table(100, [9, 9, 0], [0, 50, 100], [5, 6, 0], 1, old) == ([0, 1], [0, 50, 100], [])  # the slot being written is on disk
+    assert basket_table(120, [9, 9, 0], [0, 50, 100], [5, 6, 0], 2, [*old, *old]) == ([0, 1], [0, 50, 100, 120], [1])
+    assert basket_table(60, [9, 9], [0, 50], [5, 6], 5, old) == ([0, 1], [0, 50, 60], [])  # nothing says where the last one ends
+
+
+def test_byte_counts_are_exact():
+    from eventframe.sources.rootio.streaming import Decoder, Element, Info
+
+    def record(version, body):
+        return struct.pack(">IH", 0x40000000 | (len(body) + 2), version) + body
+
+    infos = {"Bits": {1: Info("Bits", 1, [Element("TStreamerBasicType", "fBits", "", 11, 0, "unsigned char")])}}
+    assert Decoder(infos).object("Bits", Cursor(record(1, b"\x1a")))["fBits"] == 26
+    assert Decoder(infos).object("Bits", Cursor(record(0, b"\x1a\xa1\x2f\x10" + b"\x07")))["fBits"] == 7  # a checksum comes first
+    for body in (b"", b"\x1a\x00"):
+        with pytest.raises(FormatError):
+            Decoder(infos).object("Bits", Cursor(record(1, body)))
 
 
 @pytest.mark.parametrize("codec", ["raw", "zlib", "lzma", "lz4", "zstd"])

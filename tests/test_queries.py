@@ -68,6 +68,42 @@ def test_planning_on_executors(spark, sf):
     assert sorted(a.collect()) == sorted(b.collect())
 
 
+def test_slices_share_out_a_file(spark, sf, monkeypatch):
+    from eventframe.plans.fixtures import by_flag
+    from eventframe.sources import planning
+    from eventframe.sources.options import Options
+    from eventframe.sources.paths import resolve
+
+    monkeypatch.setattr(planning, "SLICE_BYTES", 10_000)
+    files = resolve([by_flag(spark, sf)])
+    schema = eventframe.read_events(spark, files[0], columns=["l_orderkey"]).schema
+    parts = planning.plan(files, Options.parse({"path": files[0], "tree": "Events", "planning": "executor"}), schema)
+    for f in files:
+        ranges = [r for p in parts if p.file == f for r in planning.slice_ranges(p, [("l_orderkey",)], 100)]
+        assert len({p.stop for p in parts if p.file == f}) == 1 < len([p for p in parts if p.file == f])
+        assert [r.start for r in ranges] == [0, *[r.stop for r in ranges[:-1]]] and ranges[-1].stop == planning.open_tree(f, "Events").entries
+        assert all(r.stop - r.start <= 100 for r in ranges)
+
+
+def test_sized_join_and_hot_as_of_keys(spark, monkeypatch):
+    import random
+
+    from eventframe import operators
+
+    monkeypatch.setattr(operators, "BROADCAST_ROWS", 2)
+    a, b = spark.range(10).withColumnRenamed("id", "x"), spark.range(5).withColumnRenamed("id", "y")
+    on = a.x == b.y
+    assert operators.sized_join(a, b, on).count() == 5 and operators.sized_join(a, b.where("y < 2"), on).count() == 2
+    rng = random.Random(1)
+    left = [(i, rng.choice([1, 1, 1, 2, None]), rng.choice([None, *range(-500, 500)])) for i in range(600)]
+    right = [(rng.choice([1, 1, 3, None]), t, 1000 + t) for t in rng.sample(range(-500, 500), 90)]
+    l, r = spark.createDataFrame(left, "i int, k int, t long"), spark.createDataFrame(right, "k int, t long, v int")
+    want = {i: max(((u, v) for q, u, v in right if q is not None and q == k and t is not None and u <= t), default=(0, None))[1] for i, k, t in left}
+    for width in (None, 7, 100, 5000):
+        got = operators.as_of_join(l, r, "k", "t", "t", ["v"], width=width).collect()
+        assert {x.i: x.v for x in got} == want and len(got) == 600
+
+
 def test_nested_columns(spark, sf):
     df = eventframe.read_events(spark, folder(spark, sf, "nested"), columns=["cust.acctbal", "o_totalprice"])
     assert df.schema.simpleString() == "struct<cust:struct<acctbal:double>,o_totalprice:double>"
