@@ -13,29 +13,60 @@ from pyspark.sql import functions as F
 from .shingles import mix
 
 SIZES = (1, 2, 3)
-#: Characters hashed at once; a longer text goes through in pieces that overlap, so that no n-gram is lost.
-CHUNK = 1 << 20
-#: Bound on the broadcast matrix; buckets are halved until it fits.
-MATRIX_BYTES = 64 << 20
+#: Characters hashed at once: of short texts together, or of a piece of a long one.
+CHUNK = 1 << 16
+
+
+def symbols(text: str) -> np.ndarray:
+    """Code points, with all but letters and marks as spaces."""
+    u = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    return np.where(LETTER[np.minimum(u, len(LETTER) - 1)], u, 32).astype(np.uint64)
+
+
+def hashes(u: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(n, buckets of the n-grams that start at each place) for each n in SIZES."""
+    h = np.zeros(len(u), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for n in range(1, min(max(SIZES), len(u)) + 1):
+            h = (h[: len(u) - n + 1] + u[n - 1 :]) * np.uint64(0x9E3779B97F4A7C15)
+            if n in SIZES:
+                yield n, (mix(h + np.uint64(n)) % np.uint64(buckets)).astype(np.int32)
 
 
 def grams(text: str, buckets: int) -> Iterator[np.ndarray]:
-    """Bucket numbers of all n-grams of the text, lower-cased, with every run of non-letters as one space."""
-    text = f" {text.lower()} "
+    """Bucket numbers of all n-grams of the text, lower-cased, with every run of non-letters as one space. A long text goes
+    through in pieces; each begins with the symbols before it that its first n-grams need, so that it counts as if whole."""
+    text, before = f" {text.lower()} ", np.zeros(0, dtype=np.uint64)
     for lo in range(0, len(text), CHUNK):
-        piece = text[lo : lo + CHUNK + max(SIZES) - 1]
-        u = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        u = np.where(LETTER[np.minimum(u, len(LETTER) - 1)], u, 32).astype(np.uint64)
-        u = u[np.r_[True, (u[1:] != 32) | (u[:-1] != 32)]]
-        h = np.zeros(len(u), dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            for n in range(1, max(SIZES) + 1):
-                if len(u) < n:
-                    break
-                h = (h[: len(u) - n + 1] + u[n - 1 :]) * np.uint64(0x9E3779B97F4A7C15)
-                if n in SIZES:
-                    stop = min(len(h), CHUNK) if lo + CHUNK < len(text) else len(h)
-                    yield (mix(h[:stop] + np.uint64(n)) % np.uint64(buckets)).astype(np.int32)
+        u = symbols(text[lo : lo + CHUNK])
+        last = np.r_[before[-1:] if len(before) else np.zeros(1, np.uint64), u[:-1]]
+        u = np.concatenate([before, u[(u != 32) | (last != 32)]])
+        for n, h in hashes(u, buckets):
+            yield h[max(0, len(before) - n + 1) :]
+        before = u[max(0, len(u) - max(SIZES) + 1) :]
+
+
+def batch_sums(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """(sums of log-probabilities over each text's n-grams (texts, languages), numbers of n-grams), for texts with a letter
+    each: hashed as one array, whose n-grams across texts are left out."""
+    u = symbols("".join(f" {x.lower()} " for x in texts))
+    size = np.array([len(x.lower()) + 2 for x in texts])
+    ends = np.cumsum(size)
+    first = np.zeros(len(u), dtype=bool)
+    first[ends - size] = True
+    keep = first | (u != 32) | (np.r_[np.uint64(0), u[:-1]] != 32)
+    owner = np.repeat(np.arange(len(texts)), size)[keep]
+    u, size = u[keep], np.bincount(owner, minlength=len(texts))
+    out, number = np.zeros((len(texts), len(model.languages))), np.zeros(len(texts))
+    columns = np.ascontiguousarray(model.log_prob.T)
+    for n, h in hashes(u, model.buckets):
+        h = h[owner[: len(h)] == owner[n - 1 :]]
+        many = size - n + 1  # a text with a letter has three symbols at least
+        starts = np.cumsum(many) - many
+        number += many
+        for k, column in enumerate(columns):
+            out[:, k] += np.add.reduceat(column[h], starts, dtype=np.float64)
+    return out, number
 
 
 def _letters() -> np.ndarray:
@@ -66,17 +97,20 @@ class Model:
         return len(self.log_prob)
 
 
-def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key: tuple[str, ...] = (), sample_docs: int = 20_000, buckets: int = 1 << 15, alpha: float = 0.5) -> Model:
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key: tuple[str, ...] = (), sample_docs: int = 20_000, buckets: int = 1 << 15, alpha: float = 0.5, max_languages: int = 256) -> Model:
     """Counts n-grams of the whole texts of at most sample_docs labelled rows, those of the smallest hash of the key
     columns and the text (a key tells copies of one text apart, so that they can't fill the sample), on the executors; the driver gets one count per language and bucket. Priors are the languages' shares in the sample. Rows
-    without text or language are no examples."""
+    without text or language are no examples. The matrix has max_languages x buckets single-precision numbers at most; more
+    languages are an error."""
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(*key, text_col).alias("h")).where("text is not null and lang is not null")
-    edge = rows.agg(F.count("*").alias("n")).first()["n"]
-    if edge > sample_docs:  # a share of the hash range that holds about sample_docs rows, so that no sort or single task is needed
-        rows = rows.where(F.col("h") < F.lit(int(-(2**63) + 2**64 * (sample_docs / edge))))
-    n_langs = rows.select("lang").distinct().count()
-    while buckets > 1 << 10 and n_langs * buckets * 4 > MATRIX_BYTES:
-        buckets //= 2
+    per = rows.groupBy("lang").count().limit(max_languages + 1).collect()
+    if len(per) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
+    total = sum(r["count"] for r in per)
+    if total > sample_docs:  # the hashes below some edge, a quarter more than the sample on average, give the sample's own edge
+        near = rows.where(F.col("h") < F.lit(int(-(2**63) + 2**64 * min(1.0, 1.25 * sample_docs / total)) if 1.25 * sample_docs < total else 2**63 - 1)).select("h").toArrow()["h"].to_numpy()
+        if len(near) > sample_docs:
+            rows = rows.where(F.col("h") < F.lit(int(np.partition(near, sample_docs)[sample_docs])))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -105,19 +139,28 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key: tu
 
 
 def score_texts(texts: list[str], model: Model, n_grams: np.ndarray | None = None) -> np.ndarray:
-    """Log-likelihood plus log-prior, (texts, languages): each text's sparse n-gram counts times the log-probability matrix.
-    n_grams, if given, is filled with the texts' numbers of n-grams."""
-    out = np.tile(model.prior, (len(texts), 1))
-    for i, text in enumerate(texts):
+    """Log-likelihood plus log-prior, (texts, languages): each text's n-grams times the log-probability matrix, for many texts at
+    once; longer texts go piece by piece. A text without a letter has the prior alone. n_grams, if given, is filled with the texts' numbers of n-grams."""
+    out, number = np.tile(model.prior, (len(texts), 1)), np.zeros(len(texts))
+    batch: list[int] = []
+    held = 0
+    for i, text in [*enumerate(texts), (-1, "")]:
+        if batch and (i < 0 or held + len(text) > CHUNK):
+            out[batch], number[batch] = (a + b for a, b in zip((out[batch], number[batch]), batch_sums([texts[k] for k in batch], model)))
+            batch, held = [], 0
+        if i < 0 or not has_letter(text):
+            continue
+        if len(text) <= CHUNK // 2:
+            batch.append(i)
+            held += len(text)
+            continue
         for g in grams(text, model.buckets):
-            if n_grams is not None:
-                n_grams[i] += len(g)
-            if len(g) < 2048:
-                out[i] += model.log_prob[g].sum(axis=0, dtype=np.float64)
-            else:
-                c = np.bincount(g)
-                at = np.flatnonzero(c)
-                out[i] += c[at] @ model.log_prob[at].astype(np.float64)
+            number[i] += len(g)
+            c = np.bincount(g)
+            at = np.flatnonzero(c)
+            out[i] += c[at] @ model.log_prob[at].astype(np.float64)
+    if n_grams is not None:
+        n_grams[:] = number
     return out
 
 

@@ -68,25 +68,56 @@ def test_html_rows(spark, sf):
 # ---- language ID
 
 
-def test_grams_cover_pieces(monkeypatch):
-    text = "Ünïted wörds, 123 and more! " * 50
-    whole = np.sort(np.concatenate(list(language_id.grams(text, 1 << 12))))
-    clean = " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
-    assert len(whole) == sum(len(clean) + 2 - n + 1 for n in language_id.SIZES)
-    monkeypatch.setattr(language_id, "CHUNK", 64)
-    pieces = np.concatenate(list(language_id.grams(text.replace("123 ", ""), 1 << 12)))
-    monkeypatch.undo()
-    assert len(pieces) >= 0.98 * len(whole)
+def brute_grams(text, buckets):
+    """Buckets of all n-grams, symbol by symbol, with whole numbers of Python."""
+    import unicodedata
+
+    clean = []
+    for c in f" {text.lower()} ":
+        c = ord(c) if unicodedata.category(c)[0] in "LM" else 32
+        if c != 32 or not clean or clean[-1] != 32:
+            clean.append(c)
+    full, out = 2**64 - 1, []
+    for n in language_id.SIZES:
+        for i in range(len(clean) - n + 1):
+            h = 0
+            for c in clean[i : i + n]:
+                h = (h + c) * 0x9E3779B97F4A7C15 & full
+            h = (h + n) & full
+            for m in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+                h = (h ^ h >> 33) * m & full
+            out.append((h ^ h >> 33) % buckets)
+    return sorted(out)
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 5, 64, 1 << 20])
+def test_grams_of_pieces_are_those_of_the_whole(monkeypatch, chunk):
+    monkeypatch.setattr(language_id, "CHUNK", chunk)
+    for text in ("Ünïted wörds, 123 and more! " * 20, "", " ,. ", "a", "no" + " " * 200 + "yes", "x.y" * 70):
+        got = [int(b) for g in language_id.grams(text, 1 << 12) for b in g]
+        assert sorted(got) == brute_grams(text, 1 << 12), text
 
 
 def brute_predict(model, text):
     total = model.prior.astype(float).copy()
-    for g in language_id.grams(text, model.buckets):
-        for b in g:
-            total = total + model.log_prob[b]
+    for b in brute_grams(text, model.buckets):
+        total = total + model.log_prob[b]
     return total
 
 
+@pytest.mark.parametrize("chunk", [40, 1 << 20])
+def test_batches_score_as_texts_alone(monkeypatch, chunk):
+    rng = np.random.default_rng(2)
+    model = language_id.Model(["a", "b", "c"], np.log(rng.random((1 << 10, 3))).astype(np.float32), np.array([-1.0, -2.0, -0.5]))
+    texts = ["the cat", "", "x", "12 . 3", "Straße İstanbul", "a" * 30, "many words, and then more of them " * 8, " lead and trail ", "日本語"]
+    monkeypatch.setattr(language_id, "CHUNK", chunk)
+    n = np.zeros(len(texts))
+    got = language_id.score_texts(texts, model, n)
+    for i, t in enumerate(texts):
+        has = any(c.isalpha() for c in t)
+        assert got[i] == pytest.approx(brute_predict(model, t) if has else model.prior, abs=1e-6) and n[i] == (len(brute_grams(t, 8)) if has else 0)
+
+
 def test_language_query(spark, sf):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = op5_language_id(spark, sf).collect()
@@ -123,6 +154,8 @@ def test_language_odd_rows(spark, odd_docs, clashing):
 def test_fit_sample_is_bounded(make_docs):
     docs = make_docs([(i, f"text number {i} of many", "en") for i in range(400)])
     m = language_id.fit(docs, sample_docs=50, buckets=1 << 11)
+    with pytest.raises(ValueError):
+        language_id.fit(docs, max_languages=0)
     assert m.languages == ["en"]
 
 
