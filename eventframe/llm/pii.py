@@ -21,18 +21,28 @@ CARD = r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"
 IPV4 = r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
+IPV6 = r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![\w:])"
 MALE = r"Mr\.?|Herrn?|Monsieur|Señor|Sr\.|Don|Господин|г-н"
 FEMALE = r"Mrs\.?|Ms\.?|Miss|Frau|Madame|Mme\.?|Señora|Sra\.|Señorita|Doña|Госпожа|г-жа"
 EITHER = r"Dr\.?|Prof\.?"
-NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{MALE}|{FEMALE}|{EITHER}) \p{{Lu}}\p{{Ll}}{{1,30}}(?: \p{{Lu}}\p{{Ll}}{{1,30}}){{0,2}}(?!\p{{L}})"
+PARTICLES = "von|van|der|den|de|del|della|di|da|dos|du|la|le|zu|zum|zur|ter|bin|ibn|al|el"
+#: A word of a name: capitals, hyphens and apostrophes inside, but no possessive ending.
+WORD = r"\p{Lu}\p{L}{0,30}+(?:[-'’](?!s(?!\p{L}))\p{L}{1,31}+){0,3}"
+NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{MALE}|{FEMALE}|{EITHER}) (?:(?:{PARTICLES}) ){{0,2}}{WORD}(?: (?:(?:{PARTICLES}) ){{0,2}}(?!(?:{MALE}|{FEMALE}|{EITHER}) ){WORD}){{0,2}}(?!\p{{L}})"
+#: Words that may be a name without a title: looked up among the names that have one elsewhere. No part of an address or a number.
+LONE = rf"(?!(?:{MALE}|{FEMALE}|{EITHER}) ){WORD}(?![\p{{L}}\p{{N}}@_%+]|[.+-]+[\p{{L}}\p{{N}}])"
+BARE = rf"(?<![\p{{L}}\p{{N}}._%+@'’-]){LONE}(?: (?:(?:{PARTICLES}) ){{0,2}}{LONE}){{1,15}}"
 #: All of them; one look at the next character rules out most places for most kinds.
-ENTITY = f"(?:{EMAIL})|(?=[A-ZГг])(?:{IBAN}|{NAME})|(?=[+(0-9])(?:{SSN}|{PHONE}|{CARD}|{IPV4})"
+ENTITY = f"(?:{EMAIL})|(?=[A-ZГг])(?:{IBAN}|{NAME})|(?=[+(0-9])(?:{SSN}|{PHONE}|{CARD}|{IPV4})|(?=[0-9A-Fa-f:])(?:{IPV6})"
+ENTITY_OR_BARE = f"{ENTITY}|(?:{BARE})"
 KINDS = ("email", "iban", "ssn", "phone", "card", "ip", "name")
 #: Names in these scripts are made of syllables; others keep their shape.
 LETTERS = r"^\p{IsLatin}+$|^\p{IsCyrillic}+$"
 #: Surrogate names end by gender; a stem is made of syllables of the name's script.
-ENDINGS = {"latin": {"m": "on us er an ek as ard in".split(), "f": "a ia elle ina ette anne ea ora".split(), "l": "son ström ley mann ini ez ard ow".split()}}
-ENDINGS["cyrillic"] = {"m": "ан ил ор ей ир ем им ад".split(), "f": "а ия ина ела ора ена ая уша".split(), "l": "ов ин ский ко ев ук ян ич".split()}
+ENDINGS = {"latin": {"m": "on us er an ek as ard in".split(), "f": "a ia elle ina ette anne ea ora".split(), "n": "is en ey el yn ari ys im".split(), "l": "son ström ley mann ini ez ard ow".split()}}
+ENDINGS["cyrillic"] = {"m": "ан ил ор ей ир ем им ад".split(), "f": "а ия ина ела ора ена ая уша".split(), "n": "и е ю эн ис ым ал ур".split(), "l": "ов ин ский ко ев ук ян ич".split()}
+#: Where a name occurs in several roles, the first of these is its role: male, female, either, last name.
+ROLES = "mfnl"
 ONSETS = {"latin": "b c d f g h k l m n p r s t v w".split(), "cyrillic": "б в г д ж з к л м н п р с т ф х".split()}
 VOWELS = {"latin": "a e i o u ai ea io".split(), "cyrillic": "а е и о у я ю э".split()}
 #: A list of so many moved entities may be broadcast; a longer one is joined by shuffle.
@@ -49,7 +59,9 @@ def kind_of(e: Column) -> Column:
     digits = F.regexp_replace(e, r"\D", "")
     return (
         F.when(F.contains(e, F.lit("@")), F.lit("email"))
-        .when(e.rlike(r"^\p{L}+\.? |^г-") & ~e.rlike(r"\d"), F.lit("name"))
+        .when(F.contains(e, F.lit(":")), F.when(e.rlike("[0-9]"), F.lit("ip6")))
+        .when(e.rlike(f"^(?:{MALE}|{FEMALE}|{EITHER}) "), F.lit("name"))
+        .when(~e.rlike("[0-9]"), F.lit("bare"))
         .when(e.rlike("^[A-Z]{2}"), F.when(iban_valid(e), F.lit("iban")))
         .when(first(r"\d{3}-\d{2}-\d{4}"), F.lit("ssn"))
         .when(e.rlike(r"^\+") | first(NATIONAL), F.when(F.length(digits).between(7, 15), F.lit("phone")))
@@ -78,12 +90,17 @@ def iban_valid(e: Column) -> Column:
 
 def normal(kind: Column, e: Column) -> Column:
     """What makes two mentions one entity: case for email, punctuation for numbers."""
-    return F.when(kind == "email", F.lower(e)).when(kind.isin("phone", "card", "ssn", "iban"), F.regexp_replace(e, "[^0-9A-Z]", "")).otherwise(e)
+    return F.when(kind.isin("email", "ip6"), F.lower(e)).when(kind.isin("phone", "card", "ssn", "iban"), F.regexp_replace(e, "[^0-9A-Z]", "")).otherwise(e)
+
+
+def space_of(kind: Column) -> Column:
+    """The kind without a name's role: what stand-ins must differ in."""
+    return F.when(kind.startswith("name"), F.lit("name")).otherwise(kind)
 
 
 def secret(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
     """256 keyed pseudo-random bits of an entity, as hex digits; the key goes first and last, nested as in HMAC."""
-    return F.sha2(F.concat(F.lit(key), F.sha2(F.concat_ws("\x1f", F.lit(key), kind, norm, attempt.cast("string")), 256)), 256)
+    return F.sha2(F.concat(F.lit(key), F.sha2(F.concat_ws("\x1f", F.lit(key), space_of(kind), norm, attempt.cast("string")), 256)), 256)
 
 
 def draw(h: Column, i, n: int) -> Column:
@@ -131,8 +148,8 @@ def person(h: Column, role: Column, script: Column) -> Column:
     def made(s: str) -> Column:
         syllable = lambda i: F.concat(pick(h, i, ONSETS[s]), pick(h, i + 1, VOWELS[s]))
         stem = F.concat(syllable(0), syllable(2), F.when(role == "l", syllable(4)).otherwise(F.lit("")), pick(h, 6, ONSETS[s]))
-        end = F.when(role == "m", pick(h, 7, ENDINGS[s]["m"])).when(role == "f", pick(h, 7, ENDINGS[s]["f"])).otherwise(pick(h, 7, ENDINGS[s]["l"]))
-        return F.initcap(F.concat(stem, end))
+        end = F.when(role == "m", pick(h, 7, ENDINGS[s]["m"])).when(role == "f", pick(h, 7, ENDINGS[s]["f"])).when(role == "n", pick(h, 7, ENDINGS[s]["n"])).otherwise(pick(h, 7, ENDINGS[s]["l"]))
+        return F.concat(stem, end)
 
     return F.when(script == "cyrillic", made("cyrillic")).otherwise(made("latin"))
 
@@ -158,23 +175,73 @@ def drawn(h: Column, kind: Column, norm: Column) -> Column:
     iban = let(reshape(h, F.substr(norm, F.lit(5))), lambda x: F.concat(country, F.lpad(check(x).cast("int").cast("string"), 2, "0"), x))
     script = F.when(norm.rlike(r"\p{IsCyrillic}"), F.lit("cyrillic")).otherwise(F.lit("latin"))
     name = person(h, F.substr(kind, F.lit(6)), script)
-    known = F.when(kind == "email", email).when(kind == "card", card).when(kind == "phone", phone).when(kind == "ip", ip).when(kind == "iban", iban)
+    hexes = F.array_join(F.transform(F.split(norm, "(?!^)(?!$)"), lambda c, i: F.when(c.rlike("^[0-9a-f]$"), F.lower(F.hex(draw(h, i, 15) + 1))).otherwise(c)), "")
+    known = F.when(kind == "ip6", hexes).when(kind == "email", email).when(kind == "card", card).when(kind == "phone", phone).when(kind == "ip", ip).when(kind == "iban", iban)
     return known.when(kind.startswith("name") & norm.rlike(LETTERS), name).otherwise(reshape(h, norm))
 
 
-def units(e: Column) -> Column:
-    """The units of a detected entity as (kind, norm): itself, or the parts of a name, each by its role; none if invalid."""
-    return let(kind_of(e), lambda kind: parts_of(kind, e))
+def tokens(name: Column) -> Column:
+    """Runs of letters, and what stands between them."""
+    return F.regexp_extract_all(name, F.lit(r"[\p{L}\p{M}]+|[^\p{L}\p{M}]+"), F.lit(0))
+
+
+def is_name(token: Column) -> Column:
+    """Letters that get a stand-in: two at least, no particle."""
+    return token.rlike(r"^[\p{L}\p{M}]{2,}$") & ~token.rlike(f"^(?:{PARTICLES})$")
+
+
+def untitled(e: Column) -> Column:
+    return F.regexp_replace(e, f"^(?:{MALE}|{FEMALE}|{EITHER}) ", "")
+
 
+def windows(e: Column) -> Column:
+    """(first word, words, name in lower case) of the runs of 2 to 6 words of e."""
+    words = F.split(F.lower(e), " ")
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.transform(
+        F.filter(F.sequence(F.lit(2), F.lit(6)), lambda n: i + n <= F.size(words)), lambda n: F.struct(i.alias("at"), n.alias("n"), F.array_join(F.slice(words, i + 1, n), " ").alias("name")))))
 
-def parts_of(kind: Column, e: Column) -> Column:
-    parts = F.split(e, " ")
+
+def units(e: Column, known=None) -> Column:
+    """The units of a detected entity as (kind, norm): itself, or the parts of a name, each by its role; none if invalid.
+    known gives, of windows of a mention without a title, those that are names; without it there are none."""
+    return let(kind_of(e), lambda kind: parts_of(kind, e, known))
+
+
+def parts_of(kind: Column, e: Column, known=None) -> Column:
     gender = F.when(e.rlike(f"^(?:{MALE}) "), F.lit("name_m")).when(e.rlike(f"^(?:{FEMALE}) "), F.lit("name_f")).otherwise(F.lit("name_n"))
-    names = F.transform(
-        F.slice(parts, F.lit(2), F.size(parts) - 1), lambda p, i: F.struct(F.when(i == F.size(parts) - 2, F.lit("name_l")).otherwise(gender).alias("kind"), p.alias("norm"))
-    )
+
+    def titled(rest: Column) -> Column:
+        names, last = F.filter(tokens(rest), is_name), F.size(F.filter(tokens(F.substring_index(rest, " ", -1)), is_name))
+        return F.transform(names, lambda p, i: F.struct(F.when(i >= F.size(names) - last, F.lit("name_l")).otherwise(gender).alias("kind"), F.lower(p).alias("norm")))
+
     one = F.array(F.struct(kind.alias("kind"), normal(kind, e).alias("norm")))
-    return F.when(kind == "name", names).when(kind.isNotNull(), one).otherwise(F.slice(one, 1, 0))
+    none = F.slice(one, 1, 0)
+    bare = none
+    if known is not None:
+        bare = let(covered(known(windows(e))), lambda words: F.flatten(F.transform(
+            F.split(e, " "), lambda w, i: F.when(F.array_contains(words, i), F.transform(F.filter(tokens(w), is_name), lambda p: F.struct(F.lit("name_n").alias("kind"), F.lower(p).alias("norm")))).otherwise(none))))
+    return F.when(kind == "name", let(untitled(e), titled)).when(kind == "bare", bare).when(kind.isNotNull(), one).otherwise(none)
+
+
+def covered(found: Column) -> Column:
+    """Numbers of the words of windows."""
+    return F.flatten(F.transform(found, lambda w: F.sequence(w["at"], w["at"] + w["n"] - 1)))
+
+
+def cased(token: Column, new: Column) -> Column:
+    """new in capitals where token is, else with a capital where token has one."""
+    return F.when((F.length(token) > 1) & (token == F.upper(token)) & (token != F.lower(token)), F.upper(new)).when(token == F.lower(token), new).otherwise(F.concat(F.upper(F.substr(new, F.lit(1), F.lit(1))), F.substr(new, F.lit(2))))
+
+
+def rename(name: Column, norms: Column, made: Column) -> Column:
+    """name with its units, in order, replaced; letters that are no unit stay."""
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+
+    def step(acc: Column, t: Column) -> Column:
+        mine = is_name(t) & (F.get(norms, acc["at"]) == F.lower(t))
+        return F.when(mine, F.struct(F.concat(acc["out"], cased(t, F.get(made, acc["at"]))).alias("out"), (acc["at"] + 1).alias("at"))).otherwise(F.struct(F.concat(acc["out"], t).alias("out"), acc["at"].alias("at")))
+
+    return F.aggregate(tokens(name), start, step)["out"]
 
 
 def reformat(e: Column, new: Column) -> Column:
@@ -188,74 +255,101 @@ def reformat(e: Column, new: Column) -> Column:
     return placed["out"]
 
 
-def stand_in(e: Column, kinds: Column, made: Column) -> Column:
-    """The text that replaces mention e; kinds and made: of its units."""
-    k = F.get(kinds, 0)
-    mention = F.when(k.startswith("name"), F.concat(F.substring_index(e, " ", 1), F.lit(" "), F.array_join(made, " "))).when(k.isin("email", "ip"), F.get(made, 0)).otherwise(reformat(e, F.get(made, 0)))
+def recase(e: Column, new: Column) -> Column:
+    """new, with capitals where the part of the address e before the @ has them."""
+    local = F.split(F.substring_index(e, "@", 1), "(?!^)(?!$)")
+    one = lambda i: F.substr(new, i + 1, F.lit(1))
+    return F.concat(F.array_join(F.transform(local, lambda c, i: F.when(c.rlike(r"^\p{Lu}$"), F.upper(one(i))).otherwise(one(i))), ""), F.substr(new, F.size(local) + 1))
+
+
+def stand_in(e: Column, kinds: Column, norms: Column, made: Column) -> Column:
+    """The text that replaces mention e; kinds, norms and made: of its units."""
+    k, new = F.get(kinds, 0), F.get(made, 0)
+    rest = untitled(e)
+    name = F.concat(F.substr(e, F.lit(1), F.length(e) - F.length(rest)), rename(rest, norms, made))
+    mention = F.when(k.startswith("name"), name).when(k == "email", recase(e, new)).when(k == "ip6", F.when(e == F.lower(e), new).otherwise(F.upper(new))).when(k == "ip", new).otherwise(reformat(e, new))
     return F.when(F.size(made) == 0, e).otherwise(mention)
 
 
 def spare(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
     """Letters in the place of a stand-in, for entities whose shape has no free one: 20 for a name, else as many as the entity has characters."""
     letters = F.translate(secret(key, kind, norm, attempt), "0123456789abcdef", "GHIJKLMNOPABCDEF")
-    return F.when(kind.startswith("name"), F.initcap(F.substr(letters, F.lit(1), F.lit(20)))).otherwise(F.substr(letters, F.lit(1), F.length(norm)))
+    return F.when(kind.startswith("name"), F.lower(F.substr(letters, F.lit(1), F.lit(20)))).otherwise(F.substr(letters, F.lit(1), F.length(norm)))
 
 
-def entity_table(docs: DataFrame, text_col: str, key: str, rounds: int = 25) -> DataFrame:
-    """The distinct units of the corpus with stand-ins that differ from each other and from all units: kind, norm, attempt, made."""
-    mention = docs.select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit(ENTITY), 0)).alias("e"))
-    unit = mention.groupBy("e").agg(F.lit(1).alias("one")).select(F.explode(units(F.col("e"))).alias("u")).select("u.kind", "u.norm").distinct()
-    space = F.when(F.col("kind").startswith("name"), F.lit("name")).otherwise(F.col("kind"))
-    at = cut(unit.withColumn("attempt", F.lit(0)).withColumn("made", surrogate(key, F.col("kind"), F.col("norm"), F.col("attempt"))).withColumn("space", space))
+def entity_table(mentions: DataFrame, key: str, rounds: int = 25) -> DataFrame:
+    """The distinct units of the distinct mentions e, with stand-ins that differ from each other and from all units: kind, norm,
+    attempt, made, and whether the unit occurs in several roles; it has one of them throughout."""
+    unit = mentions.select(F.explode(units(F.col("e"))).alias("u")).select("u.kind", "u.norm").distinct()
+    order = F.instr(F.lit(ROLES), F.substr("kind", F.lit(6), F.lit(1)))
+    unit = unit.groupBy(space_of(F.col("kind")).alias("space"), "norm").agg(F.min_by("kind", F.when(F.col("kind").startswith("name"), order).otherwise(0)).alias("kind"), (F.count("*") > 1).alias("mixed"))
+    at = cut(unit.withColumn("attempt", F.lit(0)).withColumn("made", surrogate(key, F.col("kind"), F.col("norm"), F.col("attempt"))))
     real = at.select(F.col("space").alias("rs"), F.col("norm").alias("rn")).distinct()
     redraw = F.when(F.col("attempt") >= rounds, spare(key, F.col("kind"), F.col("norm"), F.col("attempt"))).otherwise(surrogate(key, F.col("kind"), F.col("norm"), F.col("attempt")))
     for _ in range(2 * rounds):
         first = at.groupBy(F.col("space").alias("fs"), F.col("made").alias("fm")).agg(F.count("*").alias("n"), F.min(F.struct("attempt", "kind", "norm")).alias("first")).where("n > 1")
         met = at.join(first, (F.col("space") == F.col("fs")) & (F.col("made") == F.col("fm")), "left").join(real, (F.col("space") == F.col("rs")) & (F.col("made") == F.col("rn")), "left")
         lost = F.col("rn").isNotNull() | F.coalesce(F.col("first") != F.struct("attempt", "kind", "norm"), F.lit(False))
-        step = met.select("kind", "norm", "space", lost.alias("lost"), F.when(lost, F.col("attempt") + 1).otherwise(F.col("attempt")).alias("attempt"), "made")
+        step = met.select("kind", "norm", "space", "mixed", lost.alias("lost"), F.when(lost, F.col("attempt") + 1).otherwise(F.col("attempt")).alias("attempt"), "made")
         if not step.where("lost").limit(1).count():
             return at
         at = cut(step.withColumn("made", F.when(F.col("lost"), redraw).otherwise(F.col("made"))).drop("lost"))
     raise RuntimeError("surrogates still collide")
 
 
-def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = "eventframe", id_col: str = "doc_id") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """All columns of docs with text_col rewritten, plus n_entities and entities_<kind>: mentions replaced.
 
-    Emails, phone numbers, valid IBANs, US social security numbers, card numbers that pass the Luhn test, IPv4 addresses and names after a title
-    are replaced; other numbers, and all else in the text, stay. Stand-ins keep length groups and punctuation of numbers, their check digits, the first
-    digit, the country of an IBAN, the title, gender and script of a name; stand-in emails lie in reserved domains. Mentions of one entity get one stand-in, different
-    entities different ones, and no stand-in is an entity of the corpus. Null texts stay null, empty ones empty.
+    Emails, phone numbers, valid IBANs, US social security numbers, card numbers that pass the Luhn test, IPv4 and IPv6 addresses, names after a
+    title, and the same full names where they stand without one, are replaced; other numbers, and all else in the text, stay. Stand-ins keep length
+    groups and punctuation of numbers, their check digits, the first digit, the country of an IBAN, and of a name the title, capitals, hyphens,
+    particles and single letters, and its gender and script; stand-in emails keep capitals and lie in reserved domains. Mentions of one entity get one
+    stand-in, different entities different ones, and no stand-in is an entity of the corpus. A word of a name has one role in the whole corpus: that of
+    a title with a gender, if any has one. The key is the secret that all stand-ins depend on. Null texts stay null, empty ones empty.
     Columns named like the added ones are replaced by them. Repeated rows are rewritten alike.
     """
+    if not key:
+        raise ValueError("a key is needed")
     names = ["n_entities", *(f"entities_{k}" for k in KINDS)]
     held = docs.drop(*[c for c in names if c in docs.columns])
-    moved = cut(entity_table(held, text_col, key).where("attempt > 0").select("kind", "norm", "made"))
+    mentions = cut(held.select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit(ENTITY), 0)).alias("e")).distinct())
+    # full names, of two words at least, that a title introduces somewhere
+    full = mentions.where(kind_of(F.col("e")) == "name").select(F.lower(untitled(F.col("e"))).alias("name")).where(F.contains("name", F.lit(" "))).distinct()
+    full = cut(full)
+    n_full = full.count()
+    every = F.col("kind").startswith("name") if n_full else F.lit(False)  # a name without a title says nothing of its roles
+    moved = cut(entity_table(mentions, key).where((F.col("attempt") > 0) | F.col("mixed") | every).select("space", "norm", "made"))
     n_moved = moved.count()
-    raw = F.regexp_extract_all(F.col(text_col), F.lit(ENTITY), 0)
+    pattern = ENTITY_OR_BARE if n_full else ENTITY
+    raw = F.regexp_extract_all(F.col(text_col), F.lit(pattern), 0)
     found = held.withColumn("_found", raw)
     inline = lambda u: surrogate(key, u["kind"], u["norm"], F.lit(0))
-    if n_moved <= BROADCAST_ROWS:
+    if n_moved + n_full <= BROADCAST_ROWS:
+        made, known = inline, None
         if n_moved:
-            table = moved.agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("\x1f", "kind", "norm"), "made"))).alias("_moved"))  # one row of at most BROADCAST_ROWS entries
+            table = moved.agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("\x1f", "space", "norm"), "made"))).alias("_moved"))  # one row of at most BROADCAST_ROWS entries
             found = found.crossJoin(F.broadcast(table))
-            made = lambda u: F.coalesce(F.element_at(F.col("_moved"), F.concat_ws("\x1f", u["kind"], u["norm"])), inline(u))
-        else:
-            made = inline
-        each = lambda e: let(units(e), lambda u: F.struct(e.alias("e"), u["kind"].alias("k"), F.transform(u, made).alias("m")))
-        new = lambda s: F.struct(F.get(s["k"], 0).alias("kind"), stand_in(s["e"], s["k"], s["m"]).alias("new"))
-        found = found.withColumn("_new", F.transform(F.transform("_found", each), new)).drop("_moved")
+            made = lambda u: F.coalesce(F.element_at(F.col("_moved"), F.concat_ws("\x1f", space_of(u["kind"]), u["norm"])), inline(u))
+        if n_full:
+            table = full.agg(F.map_from_entries(F.collect_list(F.struct("name", F.lit(True).alias("is")))).alias("_full"))
+            found = found.crossJoin(F.broadcast(table))
+            known = lambda w: F.filter(w, lambda x: F.coalesce(F.element_at(F.col("_full"), x["name"]), F.lit(False)))
+        each = lambda e: let(units(e, known), lambda u: F.struct(e.alias("e"), u["kind"].alias("k"), u["norm"].alias("n"), F.transform(u, made).alias("m")))
+        new = lambda s: F.struct(F.get(s["k"], 0).alias("kind"), stand_in(s["e"], s["k"], s["n"], s["m"]).alias("new"))
+        found = found.withColumn("_new", F.transform(F.transform("_found", each), new)).drop("_moved", "_full")
     else:
-        # beyond that size: join the distinct mentions with the moved units, and the texts with their mentions, by shuffle
-        mention = found.select(F.explode("_found").alias("e")).distinct().withColumn("u", units(F.col("e")))
-        unit = mention.select("e", F.posexplode("u").alias("p", "x")).join(moved, (F.col("x.kind") == F.col("kind")) & (F.col("x.norm") == F.col("norm")), "left")
-        unit = unit.groupBy("e").agg(F.transform(F.array_sort(F.collect_list(F.struct("p", F.col("x.kind").alias("k"), F.coalesce("made", inline(F.col("x"))).alias("m")))), lambda s: F.struct(s["k"].alias("k"), s["m"].alias("m"))).alias("parts"))
-        unit = unit.select("e", F.get("parts.k", 0).alias("kind"), stand_in(F.col("e"), F.col("parts.k"), F.col("parts.m")).alias("new"))
+        # beyond that size: join the distinct mentions with the full names and the moved units, and the texts with their mentions, by shuffle
+        mention = found.select(F.explode("_found").alias("e")).distinct()
+        looked = mention.where(kind_of(F.col("e")) == "bare").select("e", F.explode(windows(F.col("e"))).alias("w"))
+        hits = looked.join(full, F.col("w.name") == F.col("name"), "left_semi").groupBy(F.col("e").alias("e2")).agg(F.collect_list("w").alias("hits"))  # at most 5 for each word of a mention, which has 16
+        mention = mention.join(hits, F.col("e") == F.col("e2"), "left").withColumn("u", units(F.col("e"), lambda w: F.coalesce(F.col("hits"), F.slice(w, 1, 0))))
+        unit = mention.select("e", F.posexplode("u").alias("p", "x")).join(moved, (space_of(F.col("x.kind")) == F.col("space")) & (F.col("x.norm") == F.col("norm")), "left")
+        unit = unit.groupBy("e").agg(F.transform(F.array_sort(F.collect_list(F.struct("p", F.col("x.kind").alias("k"), F.col("x.norm").alias("n"), F.coalesce("made", inline(F.col("x"))).alias("m")))), lambda s: F.struct(s["k"].alias("k"), s["n"].alias("n"), s["m"].alias("m"))).alias("parts"))
+        unit = unit.select("e", F.get("parts.k", 0).alias("kind"), stand_in(F.col("e"), F.col("parts.k"), F.col("parts.n"), F.col("parts.m")).alias("new"))
         texts = found.select(F.sha2(text_col, 256).alias("h"), "_found").dropDuplicates(["h"]).select("h", F.posexplode("_found").alias("p", "e"))
         texts = texts.join(unit, "e", "left").groupBy("h").agg(F.array_sort(F.collect_list(F.struct("p", F.struct("kind", F.coalesce("new", "e").alias("new")).alias("s")))).alias("l")).select(F.col("h").alias("_h"), F.col("l.s").alias("_new"))
         found = found.withColumn("_t", F.sha2(text_col, 256)).join(texts, F.col("_t") == F.col("_h"), "left").drop("_t", "_h")
-    gaps = F.split(F.col(text_col), ENTITY, -1)
+    gaps = F.split(F.col(text_col), pattern, -1)
     stitched = F.array_join(F.flatten(F.zip_with(gaps, F.col("_new"), lambda g, n: F.array(g, F.coalesce(n["new"], F.lit(""))))), "")
     kept = F.filter(F.coalesce("_new", F.expr("array()")), lambda n: n["kind"].isNotNull())
     count = lambda k: F.size(F.filter(kept, lambda n: n["kind"].startswith(k)))
@@ -264,3 +358,8 @@ def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = "eventframe
         out = out.withColumn(f"entities_{k}", count(k))
     out = out.withColumn(text_col, F.when(F.size("_found") > 0, stitched).otherwise(F.col(text_col)))
     return out.select(*[c for c in held.columns], *names)
+
+
+def session_key(spark) -> str:
+    """The setting spark.eventframe.piiKey, or, for tests and checks, a key that hides nothing."""
+    return spark.conf.get("spark.eventframe.piiKey", "not a secret: set spark.eventframe.piiKey")

@@ -54,7 +54,7 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymise(docs)
+    return pii.pseudonymise(docs, pii.session_key(spark))
 
 
 def op10_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
