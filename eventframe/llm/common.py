@@ -16,9 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where none is set (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or a temporary one where none is set in local mode (tests); a cluster must set it."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
+        if not sc.getConf().get("spark.checkpoint.dir") and (sc.master.startswith("local-cluster") or not sc.master.startswith("local")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="eventframe-"))
     return sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
 
@@ -29,6 +31,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared store that no later step reads."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def blocks_of(n_rows: int, per_block: int) -> int:
     return max(1, -(-n_rows // per_block))
 
