@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,27 +31,38 @@ IMPLIED = {
     "tr": ({"tr", "td", "th", "caption", "colgroup"}, {"table"}),
     "td": ({"td", "th"}, {"table", "tr"}),
     "th": ({"td", "th"}, {"table", "tr"}),
-    "thead": ({"caption", "colgroup", "thead", "tbody", "tfoot"}, {"table"}),
-    "tbody": ({"caption", "colgroup", "thead", "tbody", "tfoot"}, {"table"}),
-    "tfoot": ({"caption", "colgroup", "thead", "tbody", "tfoot"}, {"table"}),
+    "thead": ({"caption", "colgroup", "thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
+    "tbody": ({"caption", "colgroup", "thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
+    "tfoot": ({"caption", "colgroup", "thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
     "body": ({"head"}, {"html"}),
 }
 FENCE = frozenset("table td th caption button object html".split())
-HIDDEN = frozenset("head script style template noscript title iframe noembed noframes object audio video canvas svg math datalist".split())
-DEPTH = 150
-ALIGN = 80
+#: What browsers don't show, or show something else in place of; svg holds text of its own, see visit.
+HIDDEN = frozenset("head script style template noscript title iframe noembed noframes audio video canvas datalist rp annotation annotation-xml".split())
+SVG_TEXT = frozenset("text foreignobject".split())
+#: Elements nested deeper than this become siblings, as in browsers, whose trees are no deeper either.
+DEPTH = 512
+#: Largest colspan and rowspan, by the standard.
+COLSPAN, ROWSPAN = 1000, 65_534
+#: A table may have so many spaces for alignment for each character of its text; wider cells are left out of column widths until it does.
+PADDING = 64
 
 TAG = re.compile(r"<(?:(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)>|!--|[!?/])", re.S)
 ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
-GONE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+DISPLAY = re.compile(r"(?:^|[;{\s])display\s*:\s*([\w-]+)", re.I)
+VISIBILITY = re.compile(r"(?:^|[;{\s])visibility\s*:\s*([\w-]+)", re.I)
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+#: A rule of a style sheet; blocks of other at-rules are left out, with what they hold.
+RULE = re.compile(r"([^{}]*)\{([^{}]*)\}")
+SELECTOR = re.compile(r"([A-Za-z][\w-]*|\*)?((?:[.#][\w-]+)*)")
 BLANKS = re.compile(r"[ \t\r\n\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "gone")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.children = tag, attrs, []
+        self.tag, self.attrs, self.children, self.gone = tag, attrs, [], False
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -75,13 +87,12 @@ def parse(source: str) -> Node:
             stack[-1].children.append(html.unescape(s) if "&" in s else s)
 
     at, n = 0, len(source)
-    no_quote = False
     while at < n:
         lt = source.find("<", at)
         if lt < 0:
             text(source[at:])
             break
-        m = None if no_quote else TAG.match(source, lt)
+        m = TAG.match(source, lt)
         if m is None:
             # a '<' that opens no tag, or a tag whose quote never ends
             if lt + 1 < n and (source[lt + 1].isalpha() or source[lt + 1] == "/" and source[lt + 2 : lt + 3].isalpha()):
@@ -155,16 +166,96 @@ def parse(source: str) -> Node:
 
 
 def hidden(node: Node) -> bool:
+    """Whether nothing of the node is shown; settle has looked at styles."""
     a = node.attrs
     return (
-        node.tag in HIDDEN
+        node.gone
+        or node.tag in HIDDEN
         or "hidden" in a
         or (node.tag == "input" and a.get("type", "").lower() in ("hidden", "checkbox", "radio", "password", "file", "image"))
         or (node.tag == "dialog" and "open" not in a)
-        or ("style" in a and GONE.search(a["style"]) is not None)
     )
 
 
+def at_rules_out(sheet: str) -> str:
+    """The style sheet without at-rules, whose blocks hold for some media or hold no selectors."""
+    out, at = [], 0
+    while (k := sheet.find("@", at)) >= 0:
+        out.append(sheet[at:k])
+        brace, semicolon = sheet.find("{", k), sheet.find(";", k)
+        if brace < 0 or 0 <= semicolon < brace:
+            at = len(sheet) if semicolon < 0 else semicolon + 1
+            continue
+        depth, at = 1, brace + 1
+        while depth and at < len(sheet):
+            depth += {"{": 1, "}": -1}.get(sheet[at], 0)
+            at += 1
+    return "".join([*out, sheet[at:]])
+
+
+class Styles:
+    """Rules about display and visibility with simple selectors: an element, classes and an id; the more specific and, among
+    equals, the later one holds. Selectors with combinators, attributes or states say nothing here."""
+
+    def __init__(self, sheets: list[str]):
+        self.rules: dict[str, list[tuple]] = {}
+        order = 0
+        for sheet in sheets:
+            for selectors, body in RULE.findall(at_rules_out(COMMENT.sub("", sheet))):
+                display, visibility = ([x.lower() for x in p.findall(body)] for p in (DISPLAY, VISIBILITY))
+                for selector in selectors.split(",") if display or visibility else ():
+                    m = SELECTOR.fullmatch(selector.strip())
+                    if not m or not m[0]:
+                        continue
+                    tag, marks = (m[1] or "*").lower(), re.findall(r"[.#][\w-]+", m[2])
+                    order += 1
+                    weight = (sum(x[0] == "#" for x in marks), sum(x[0] == "." for x in marks), tag != "*", order)
+                    self.rules.setdefault(marks[0] if marks else tag, []).append((weight, tag, frozenset(marks), display[-1:], visibility[-1:]))
+
+    def of(self, node: Node) -> tuple[str, str]:
+        """(display, visibility) of an element, as far as sheets and its own style say."""
+        marks = {f".{c}" for c in node.attrs.get("class", "").split()} | ({f"#{node.attrs['id']}"} if "id" in node.attrs else set())
+        found = sorted(r for key in (node.tag, "*", *marks) if key in self.rules for r in self.rules[key] if r[1] in ("*", node.tag) and r[2] <= marks) if self.rules else []
+        display, visibility = "", ""
+        for _, _, _, d, v in found:
+            display, visibility = (d or [display])[0], (v or [visibility])[0]
+        own = node.attrs.get("style", "")
+        if own:
+            display = [display, *DISPLAY.findall(own)][-1].lower()
+            visibility = [visibility, *VISIBILITY.findall(own)][-1].lower()
+        return display, visibility
+
+
+def settle(root: Node, source: str) -> None:
+    """Marks what styles take away. display:none takes all inside; visibility is inherited, and an element inside may be visible again."""
+    low = source.lower()
+    if "display" not in low and "visibility" not in low:
+        return
+    sheets, stack = [], [root]
+    while stack:
+        x = stack.pop()
+        if x.tag == "style":
+            sheets.append("".join(c for c in x.children if isinstance(c, str)))
+        stack += [c for c in reversed(x.children) if isinstance(c, Node)]
+    styles = Styles(sheets)
+    todo: list[tuple[Node, bool, bool]] = [(root, True, False)]
+    while todo:
+        x, visible, done = todo.pop()
+        if done:
+            inside = any(isinstance(c, Node) and not c.gone for c in x.children)
+            x.children = [c for c in x.children if isinstance(c, Node)]
+            x.gone = not inside
+            continue
+        display, visibility = styles.of(x)
+        if display == "none":
+            x.gone = True
+            continue
+        visible = {"hidden": False, "collapse": False, "visible": True, "initial": True}.get(visibility, visible)
+        if not visible:
+            todo.append((x, False, True))
+        todo += [(c, visible, False) for c in x.children if isinstance(c, Node)]
+
+
 class Flow:
     """Lines of one block; text is collapsed as in a browser, and gaps between blocks merge."""
 
@@ -208,20 +299,20 @@ class Flow:
 
 
 def render_list(node: Node, flow: Flow) -> None:
-    ordered = node.tag == "ol"
+    ordered, step = node.tag == "ol", -1 if "reversed" in node.attrs else 1
     try:
-        number = int(node.attrs.get("start", "1"))
-    except ValueError:
-        number = 1
+        number = int(node.attrs["start"])
+    except (KeyError, ValueError):
+        number = 1 if step > 0 else sum(isinstance(c, Node) and c.tag == "li" and not hidden(c) for c in node.children)
     for child in node.children:
         if isinstance(child, Node) and child.tag == "li":
             if hidden(child):
                 continue
             inner = lines_of(child, False, tight=True)
-            if ordered and child.attrs.get("value", "").isdigit():
+            if ordered and re.fullmatch("-?[0-9]{1,9}", child.attrs.get("value", "")):
                 number = int(child.attrs["value"])
             mark = f"{number}. " if ordered else "- "
-            number += 1
+            number += step
             if inner:
                 flow.add([mark + inner[0], *((" " * len(mark) + x if x else "") for x in inner[1:])])
         elif isinstance(child, Node):
@@ -239,61 +330,112 @@ def render_list(node: Node, flow: Flow) -> None:
             flow.flush()
 
 
-def rows_of(node: Node) -> Iterator[Node]:
-    for child in node.children:
-        if isinstance(child, Node) and not hidden(child):
-            if child.tag == "tr":
-                yield child
-            elif child.tag in ("tbody", "thead", "tfoot"):
-                yield from rows_of(child)
-            elif child.tag in ("td", "th"):  # a cell without a row
-                row = Node("tr", {})
-                row.children = [child]
-                yield row
-
-
-def render_table(node: Node, flow: Flow) -> None:
-    for child in node.children:  # what a table holds beside its rows comes before it, as browsers place it
-        if isinstance(child, str) or child.tag not in ("tbody", "thead", "tfoot", "tr", "td", "th", "colgroup", "col"):
-            if isinstance(child, str):
-                flow.text(child, False)
-            else:
-                visit(child, flow, False)
-    flow.flush()
-    grid: list[list[tuple[int, int, list[str]]]] = []
-    for row in rows_of(node):
-        cells, column = [], 0
+def rows_of(table: Node) -> list[tuple[Node, Node]]:
+    """(group, row) of the rows of a table in order; a cell without a row is one."""
+    out: list[tuple[Node, Node]] = []
+    stack = [(table, c) for c in reversed(table.children)]
+    while stack:
+        group, child = stack.pop()
+        if not isinstance(child, Node) or hidden(child):
+            continue
+        if child.tag == "tr":
+            out.append((group, child))
+        elif child.tag in ("tbody", "thead", "tfoot"):
+            stack += [(child, c) for c in reversed(child.children)]
+        elif child.tag in ("td", "th"):
+            row = Node("tr", {})
+            row.children = [child]
+            out.append((group, row))
+    return out
+
+
+def span_of(cell: Node, name: str, most: int) -> int:
+    """A span as the standard reads it: leading digits, 1 where there are none, 0 as it is, and at most so many."""
+    m = re.match(r"\s*\+?([0-9]+)", cell.attrs.get(name, ""))
+    return min(most, int(m[1][:9])) if m else 1
+
+
+def cells_of(node: Node) -> list[list[tuple[int, int, list[str]]]]:
+    """(column, columns, lines) of the cells of each row that holds text; cells of rows above keep their columns."""
+    grid, taken, last = [], {}, None
+    for group, row in rows_of(node):
+        if group is not last:  # no cell reaches beyond its group of rows
+            taken, last = {}, group
+        cells, column, below = [], 0, {}
         for cell in row.children:
+            wide = tall = 1
             if isinstance(cell, str):
                 inner = [x] if (x := BLANKS.sub(" ", cell).strip(" ")) else []
                 if not inner:
                     continue
-                span = 1
             elif hidden(cell):
                 continue
             else:
-                span = cell.attrs.get("colspan", "1")
-                span = min(100, max(1, int(span))) if span.isdigit() and len(span) < 5 else 1
+                wide, tall = max(1, span_of(cell, "colspan", COLSPAN)), span_of(cell, "rowspan", ROWSPAN) or ROWSPAN
                 inner = lines_of(cell, False)
-            cells.append((column, span, inner))
-            column += span
+            while column in taken:
+                column += 1
+            cells.append((column, wide, inner))
+            if tall > 1:
+                below |= dict.fromkeys(range(column, column + wide), tall)
+            column += wide
+        taken = {c: left - 1 for c, left in (taken | below).items() if left > 1}
         if any(c[2] for c in cells):
             grid.append(cells)
+    return grid
+
+
+def starts_of(grid: list[list[tuple[int, int, list[str]]]], limit: int) -> dict[int, int]:
+    """Where each column in use starts, by the widest cell of each column that is no wider than limit."""
     width: dict[int, int] = {}
     for cells in grid:
         for column, span, inner in cells:
-            if span == 1:
-                fits = [len(x) for x in inner if len(x) <= ALIGN]
-                width[column] = max([width.get(column, 0), *fits])
-    for cells in grid:
-        for k in range(max(len(c[2]) for c in cells)):
-            line, at = "", 0
-            for column, _, inner in cells:
-                start = sum(width.get(c, 0) + 2 for c in range(column))
-                at = max(start, len(line) + 2 if line else 0)
-                if k < len(inner) and inner[k]:
-                    line = line.ljust(at) + inner[k]
-            flow.add([line.rstrip()])
+            width[column] = max([width.get(column, 0), *(len(x) for x in inner if span == 1 and len(x) <= limit)])
+    starts, at = {}, 0
+    for column in sorted(width):
+        starts[column] = at
+        at += width[column] + 2
+    return starts
+
+
+def render_table(node: Node, flow: Flow) -> None:
+    for child in node.children:  # what a table holds beside its rows comes before it, as browsers place it
+        if isinstance(child, str) or child.tag not in ("tbody", "thead", "tfoot", "tr", "td", "th", "colgroup", "col"):
+            if isinstance(child, str):
+                flow.text(child, False)
+            else:
+                visit(child, flow, False)
+    flow.flush()
+    grid = cells_of(node)
+    held = [(cells, k) for cells in grid for k in range(max(len(c[2]) for c in cells))]
+    text = sum(len(x) for cells in grid for c in cells for x in c[2])
+    limit = max([0, *(len(x) for cells in grid for c in cells for x in c[2])])
+    while True:  # spaces are at most the place where the last cell of each line starts
+        starts = starts_of(grid, limit)
+        if sum(max([0, *(starts[c] for c, _, inner in cells if k < len(inner) and inner[k])]) for cells, k in held) <= PADDING * (text + 64) or not limit:
+            break
+        limit //= 2
+    for cells, k in held:
+        line: list[str] = []
+        length = 0
+        for column, _, inner in cells:
+            if k < len(inner) and inner[k]:
+                at = max(starts[column], length + 2 if length else 0)
+                line += [" " * (at - length), inner[k]]
+                length = at + len(inner[k])
+        flow.add(["".join(line).rstrip()])
+
+
+def svg_texts(node: Node) -> list[Node]:
+    """What of a drawing is text."""
+    out, stack = [], [node]
+    while stack:
+        x = stack.pop()
+        if x.tag in SVG_TEXT:
+            out.append(x)
+        else:
+            stack += [c for c in reversed(x.children) if isinstance(c, Node) and not hidden(c) and c.tag not in ("desc", "metadata", "defs", "symbol")]
+    return out
 
 
 def visit(node: Node, flow: Flow, pre: bool) -> None:
@@ -306,6 +448,13 @@ def visit(node: Node, flow: Flow, pre: bool) -> None:
     if tag == "input":
         flow.text(node.attrs.get("value", ""), False)
         return
+    if tag == "svg":
+        for x in svg_texts(node):
+            flow.text(" ", False)
+            for child in x.children:
+                flow.text(child, False) if isinstance(child, str) else visit(child, flow, False)
+            flow.text(" ", False)
+        return
     pre = pre or tag in ("pre", "textarea", "xmp")
     is_block = tag in BLOCK
     gap = 1 if tag not in SPACED or flow.tight and tag in ("ul", "ol", "menu", "dir") else 2
@@ -360,6 +509,8 @@ def find_title(node: Node) -> str | None:
     stack = [node]
     while stack:
         x = stack.pop()
+        if x.tag == "svg":
+            continue
         if x.tag == "title":
             return BLANKS.sub(" ", "".join(c for c in x.children if isinstance(c, str))).strip()
         stack += [c for c in reversed(x.children) if isinstance(c, Node)]
@@ -368,17 +519,22 @@ def find_title(node: Node) -> str | None:
 
 def render(source: str) -> tuple[str | None, str]:
     """(title, visible text)."""
+    if sys.getrecursionlimit() < 8 * DEPTH:
+        sys.setrecursionlimit(8 * DEPTH)
     root = parse(source)
+    settle(root, source)
     return find_title(root), "\n".join(lines_of(root, False))
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """One row per row of pages: id_col, title (null if there is none), text.
 
-    text holds all that a browser would show: no head, scripts, styles, templates or elements hidden by attribute or inline
-    style. Blocks start lines, paragraphs, headings, lists and tables are set off by an empty line, list items carry their mark
-    and indentation, cells of a column start at the same place (text beyond 80 characters in a cell moves the cells after
-    it). A null or empty page has a null title and an empty text. Elements nested deeper than 150 become siblings at that depth.
+    text holds all that a browser would show: no head, scripts, styles, templates or elements hidden by attribute, inline
+    style or a rule of a style sheet with a simple selector; formulas, the text of drawings and what stands in for objects are shown. Blocks start
+    lines, paragraphs, headings, lists and tables are set off by an empty line, list items carry their mark and indentation, cells
+    of a column start at the same place, cells of rows above keep theirs. Where that took more than 64 spaces for each character
+    of a table, its widest cells move those after them instead. A null or empty page has a null title and an empty text. Elements
+    nested deeper than 512 become siblings at that depth, as in browsers.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
