@@ -25,6 +25,8 @@ TOKENS = 64
 FAN = 2
 #: A list of so many keys may be broadcast; a longer one is joined by shuffle.
 BROADCAST_ROWS = 100_000
+#: Rows of a list of hot keys, each of which has more than the inverse of this of all rows.
+SHORT_LIST = 4096
 LEVELS = 2
 #: The recursion in memory: places per node, levels, and rows that are not split further.
 SPLIT_FAN, SPLIT_DEPTH, SPLIT_ROWS = 4, 6, 256
@@ -246,7 +248,7 @@ def jaccard_classes(
     reached = classes.select("sid", "small", "dense").mapInArrow(reach, "key long, sid binary, sketch binary")
 
     # keys of buckets over block_rows: at most one per block_rows rows, counted with map-side sums
-    hot = cut(reached.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block_rows).select("key"))
+    hot = cut(reached.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block_rows))
     n_hot = hot.count()
     hot = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
     modest = reached.join(hot, "key", "left_anti") if n_hot else reached
@@ -263,9 +265,8 @@ def jaccard_classes(
     edges = modest.repartition("key").sortWithinPartitions("key").mapInArrow(compare, "a binary, b binary")
 
     def blocks(rows: DataFrame, by: str, per: int, *cols: str) -> DataFrame:
-        """Rows of a group as cells (by, i, j) of two blocks of about per rows each."""
-        n = rows.groupBy(by).agg(F.count("*").alias("n")).select(F.col(by).alias("by2"), F.ceil(F.col("n") / per).cast("int").alias("nb"))
-        own = rows.join(n, F.col(by) == F.col("by2")).withColumn("own", F.pmod(F.xxhash64("sid"), F.col("nb")).cast("int"))
+        """Rows of a group, with its number of rows n, as cells (by, i, j) of two blocks of about per rows each."""
+        own = rows.withColumn("nb", F.ceil(F.col("n") / per).cast("int")).withColumn("own", F.pmod(F.xxhash64("sid"), F.col("nb")).cast("int"))
         own = own.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
         return own.select(by, F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), "own", "sid", *cols).repartition(by, "i", "j").sortWithinPartitions(by, "i", "j", "own", "sid")
 
@@ -282,7 +283,10 @@ def jaccard_classes(
         edges = edges.unionByName(blocks(large, "key", block_rows, "sketch").mapInArrow(compare_blocks, "a binary, b binary"))
     group = cut(components(edges).select(F.col("node").alias("sid"), F.col("root").alias("grp")))
 
-    # the true sets of the classes that have candidates, from the text of one row each
+    # the true sets of the classes that have candidates, from the text of one row each; groups over a block, at most one per
+    # set_block_rows classes, are looked up by themselves, so that no large group meets in one task
+    large = cut(group.groupBy("grp").agg(F.count("*").alias("n")).where(F.col("n") > set_block_rows))
+    large = F.broadcast(large) if large.count() <= BROADCAST_ROWS else large
     chosen = group.join(classes, "sid").select("sid", "grp", "m", F.col("any.id").alias("rid"), F.col("any.text_key").alias("rkey"))
     source = base.select("id", "text", F.xxhash64("text").alias("text_key")).join(chosen, F.col("id").eqNullSafe(F.col("rid")) & (F.col("text_key") == F.col("rkey"))).select("sid", "grp", "m", "text")
 
@@ -313,11 +317,23 @@ def jaccard_classes(
             root, has = min_roots(len(own), a, b), np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([sid.take(pa.array(has)), sid.take(pa.array(root[has])), pa.array(n[has])], ["sid", "hub", "n"])
 
+    sets = sets.join(large, "grp", "left").withColumn("n", F.coalesce("n", F.lit(1)))
     settled = cut(blocks(sets, "grp", set_block_rows, "m", "items").mapInArrow(settle, "sid binary, hub binary, n long"))
     roots = components(settled.select(F.col("sid").alias("a"), F.col("hub").alias("b"))).select(F.col("node").alias("sid"), "root")
     linked = settled.groupBy("sid").agg(F.sum("n").alias("n"))
-    label = classes.select("sid", "m", "least_id").join(linked, "sid", "left").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    low = label.groupBy("root").agg(F.min("least_id").alias("class_id"))
-    label = label.join(low, "root").select("sid", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), "class_id", F.col("root").alias("class_key"))
-    out = signed.select("id", "text_key", "sid").join(label, "sid", "left")
+    label = cut(classes.select("sid", "m", "least_id").join(linked, "sid", "left").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid")))
+    n_classes, total = label.agg(F.count("*"), F.coalesce(F.sum("m"), F.lit(0))).first()
+    # a class or a text with more than 1/SHORT_LIST of all is looked up in a list of at most SHORT_LIST
+    low = cut(label.groupBy("root").agg(F.min("least_id").alias("class_id"), F.count("*").alias("sets")).where("sets > 1"))
+    hubs, others = F.broadcast(low.where(F.col("sets") * SHORT_LIST > n_classes)), low.where(F.col("sets") * SHORT_LIST <= n_classes)
+    label = label.join(hubs.select("root", F.col("class_id").alias("hub_id")), "root", "left")
+    label = label.withColumn("look", F.when(F.col("hub_id").isNull(), F.col("root")).otherwise(F.col("sid")))
+    label = label.join(others.select(F.col("root").alias("look2"), F.col("class_id").alias("low_id")), (F.col("look") == F.col("look2")) & F.col("hub_id").isNull(), "left")
+    label = cut(label.select("sid", "m", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("hub_id", "low_id", "least_id").alias("class_id"), F.col("root").alias("class_key")))
+    got = F.struct("n_links", "class_id", "class_key")
+    hot = F.broadcast(label.where(F.col("m") * SHORT_LIST > total).select("sid", got.alias("hot")))
+    rest = label.where(F.col("m") * SHORT_LIST <= total).select(F.col("sid").alias("look2"), got.alias("cold"))
+    out = signed.select("id", "text_key", "sid").join(hot, "sid", "left")
+    out = out.withColumn("look", F.when(F.col("hot").isNull() & F.col("sid").isNotNull(), F.col("sid")).otherwise(F.unhex(F.hex(F.xxhash64("id", "text_key")))))  # 8 bytes, which no set's key has
+    out = out.join(rest, F.col("look") == F.col("look2"), "left").withColumn("got", F.coalesce("hot", "cold")).select("id", "text_key", "sid", "got.*")
     return out.select(F.col("id").alias(id_col), "text_key", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("sid").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), "class_key")
