@@ -42,24 +42,34 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], share: float, m
     return ranked.withColumn("f", first).select("source", "source_size", F.when(free, F.col("w") * F.col("f.level")).otherwise(F.col("cap")).alias("target"))
 
 
+def numbered(groups: DataFrame) -> DataFrame:
+    """Each of m equal rows with its number, twin; those of a group of more than BUCKET_ROWS come from a task for each so many."""
+    few = groups.where(F.col("m") <= BUCKET_ROWS).withColumn("twin", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))))
+    many = groups.where(F.col("m") > BUCKET_ROWS).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("m") - 1) / BUCKET_ROWS))))
+    last = F.least("m", (F.col("part") + 1) * BUCKET_ROWS)
+    many = many.repartition("id", "text_key", "part").withColumn("twin", F.explode(F.sequence(F.col("part") * BUCKET_ROWS + 1, last))).drop("part")
+    return few.unionByName(many).drop("m")
+
+
 def mix_sources(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: int = 2
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, taken). rows: row_key, id, size, source_size, target per row of docs. taken: row_key, copy (from 1), size and finish, the
     virtual finish time, for each copy of a row that the mix takes.
 
-    Copies of a source's rows queue in a shuffled order (a hash of id and copy): all rows once, then, where the target is above the
+    Copies of a source's rows queue in a shuffled order (a hash of id and copy, and of the text where the id is null): all rows once, then, where the target is above the
     source's size, again. A copy's virtual finish time is the words queued up to its end divided by its source's target, the
     source's effective weight. The copies of all sources, in the order of finish time, are taken while their words fit the
     total budget. Both running sums are split into buckets of the order, so that no source and no table is one task.
 
     A null source is a source of its own, last in order; null and empty texts have size 0 and are never taken. Rows that repeat an id
-    and text are told apart by a number among them, and each is a row of its own. An empty table gives empty results.
+    and text are told apart by a number among them, and each is a row of its own: they are counted first, and the numbers of
+    very many are dealt to several tasks. An empty table gives empty results.
     """
     base = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"))
-    sized = base.select("id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("text_key"))
-    twin = Window.partitionBy("id", "text_key", "source").orderBy("size")
-    rows = cut(sized.withColumn("twin", F.row_number().over(twin)))
+    name = F.coalesce(F.col("id").cast("string"), F.md5("text"), F.lit(""))
+    sized = base.select("id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("text_key"), name.alias("name"))
+    rows = numbered(cut(sized.groupBy("id", "source", "text_key", "size", "name").agg(F.count("*").alias("m"))))
     digits = max(2, math.ceil(math.log(max(1, rows.count() / BUCKET_ROWS), 16)))  # hex digits of the order that name a bucket
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = cut(source_targets(sizes, weights, share, most).withColumn("source_id", F.xxhash64("source")))
@@ -68,8 +78,8 @@ def mix_sources(
     key = F.struct("id", "text_key", "source", "twin")
     queued = (
         rows.where("size > 0 and target > 0")
-        .select(key.alias("row_key"), "source", "size", "source_size", "target", F.explode(F.sequence(F.lit(1), F.ceil(F.col("target") / F.col("source_size")).cast("int"))).alias("copy"))
-        .withColumn("order", F.md5(F.concat_ws(":", F.coalesce(F.col("row_key.id").cast("string"), F.lit("")), F.col("copy").cast("string"))))
+        .select(key.alias("row_key"), "name", "source", "size", "source_size", "target", F.explode(F.sequence(F.lit(1), F.ceil(F.col("target") / F.col("source_size")).cast("int"))).alias("copy"))
+        .withColumn("order", F.md5(F.concat_ws(":", "name", F.col("copy").cast("string"), F.when(F.col("row_key.twin") > 1, F.col("row_key.twin").cast("string")))))
     )
     queued = running_sum(queued, ["source", "copy"], F.substring("order", 1, digits), ["order", "row_key"], "queued")
     timed = queued.withColumn("finish", ((F.col("copy") - 1) * F.col("source_size") + F.col("queued")).cast("double") / F.col("target"))

@@ -95,3 +95,26 @@ def test_odd_rows(odd_docs, clashing):
     assert mixing.mixed_rows(odd_docs).count() == n
     assert mixing.mixed_rows(odd_docs).columns == odd_docs.columns
     assert mixing.mixed_counts(odd_docs.limit(0)).collect() == [] and mixing.mixed_rows(odd_docs.limit(0)).collect() == []
+
+
+def test_many_repeated_rows(make_docs, monkeypatch):
+    """Numbers of repeated rows are dealt in parts; repeated rows and rows without an id spread over the shuffled order."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 50)
+    rows = [(7, "five words are in this", "en", "a")] * 333 + [(None, f"text {i} of no id", "en", "b") for i in range(120)] + [(i, "w " * (i % 9), "en", "a") for i in range(100, 200)]
+    found, taken = mixing.mix_sources(make_docs(rows))
+    found = found.collect()
+    assert len(found) == len(rows) and len({r.row_key for r in found}) == len(rows)
+    assert sorted(r.row_key.twin for r in found if r.id == 7) == list(range(1, 334))
+    got = taken.collect()
+    assert len({(r.row_key, r["copy"]) for r in got}) == len(got)
+    for who in (lambda k: k.id == 7, lambda k: k.id is None):
+        finish = [r.finish for r in got if who(r.row_key)]
+        assert max(finish) - min(finish) > 0.5  # not in one bucket
+    counts = mixing.mixed_counts(make_docs(rows)).collect()
+    assert len(counts) == len(rows) and {r.doc_id: r.source_size for r in counts}[None] == 600
+    by, target = defaultdict(int), {}
+    for r in counts:
+        by[r.source_size] += r.taken
+        target[r.source_size] = r.target
+    assert all(abs(by[s] - target[s]) <= 10 for s in by)
+    assert mixing.mixed_rows(make_docs(rows)).count() == sum(r.taken // r.size for r in counts if r.size)
