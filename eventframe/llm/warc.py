@@ -268,16 +268,49 @@ def file_reader(path: str) -> tuple[Callable[[int, int], bytes], int, Callable[[
     return read, os.fstat(fd).st_size, lambda: os.close(fd)
 
 
-def read_archives(spark: SparkSession, folder: str) -> DataFrame:
+def store_reader(path: str) -> tuple[Callable[[int, int], bytes], int, Callable[[], None]]:
+    """Reads ranges of a file in a store that Arrow knows."""
+    from pyarrow import fs
+
+    system, inner = fs.FileSystem.from_uri(path)
+    file = system.open_input_file(inner)
+    size = file.size()
+
+    def read(offset: int, length: int) -> bytes:
+        data = file.read_at(length, offset)
+        if len(data) != length:
+            raise ArchiveError("file ends early")
+        return data
+
+    return read, size, file.close
+
+
+def way_to_read(spark: SparkSession, folder: str) -> str:
+    """How packages in folder are read: file (ranges of a shared file), store (ranges through Arrow) or whole (bytes fetched by Spark)."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if store.getUri().getScheme() == "file":
+        return "file"
+    from pyarrow import fs
+
+    try:
+        system, inner = fs.FileSystem.from_uri(store.makeQualified(at).toString())
+        return "store" if system.get_file_info(inner).type == fs.FileType.Directory else "whole"
+    except (pa.ArrowException, OSError):
+        return "whole"
+
+
+def read_archives(spark: SparkSession, folder: str, way: str | None = None) -> DataFrame:
     """One row per record in folder's packages: page_id, url, record_type, refers_to, payload_digest, payload_bytes, payload (null for revisits).
 
-    Shared file: folders are read by range on the executors; from other stores Spark fetches a package's bytes, and the same
-    reader takes ranges of these. A response whose payload doesn't match its digest or length, like any broken package, is an error.
+    Packages in shared file: folders, and in stores that Arrow reaches from the driver, are read by range on the executors; from other stores
+    Spark fetches a package's bytes, and the same reader takes ranges of these. way (file, store or whole) overrules that choice. A
+    response whose payload doesn't match its digest or length, like any broken package, is an error.
     """
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
-    local = folder.startswith(("file:", "/"))
+    way = way or way_to_read(spark, folder)
     listed = listed.where("length > 0")  # a write task without rows may leave an empty file
-    listed = listed.select("path") if local else listed.select("path", "content")
+    listed = listed.select("path", "content") if way == "whole" else listed.select("path")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["page_id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload"]
@@ -285,10 +318,12 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
         number = lambda s: int(s) if s else None
         for batch in batches:
             for k in range(batch.num_rows):
-                if local:
+                if way == "file":
                     from urllib.parse import unquote, urlparse
 
                     read, size, close = file_reader(unquote(urlparse(batch.column(0)[k].as_py()).path))
+                elif way == "store":
+                    read, size, close = store_reader(batch.column(0)[k].as_py())
                 else:
                     data = batch.column(1)[k].as_buffer()
                     read, size, close = (lambda at, n, d=data: d.slice(at, n).to_pybytes()), len(data), (lambda: None)

@@ -103,6 +103,21 @@ def test_other_stores_take_the_same_reader(spark, tmp_path, monkeypatch):
     assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in back), key=str) == brute(ROWS, 0)
 
 
+def test_ranges_through_arrow(spark, tmp_path):
+    """The way taken for stores that Arrow knows, on the one that a test has."""
+    folder = f"file://{tmp_path}/w"
+    warc.write_archives(spark.createDataFrame(ROWS, "page_id long, url string, html string"), folder)
+    assert warc.way_to_read(spark, folder) == "file"
+    back = warc.read_archives(spark, folder, "store").collect()
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in back), key=str) == brute(ROWS, 0)
+    part = next(p for p in sorted((tmp_path / "w").iterdir()) if p.name.startswith("part-") and p.stat().st_size)
+    read, size, close = warc.store_reader(part.as_uri())
+    assert read(0, 4) == b"PK\x03\x04" and size == part.stat().st_size
+    with pytest.raises(warc.ArchiveError):
+        read(size - 2, 4)
+    close()
+
+
 def test_empty(spark, tmp_path):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.archive_round_trip(df, f"file://{tmp_path}/e").collect() == []
