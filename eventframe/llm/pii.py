@@ -7,11 +7,17 @@ somebody's real entity, all but the first take the next stand-in of their sequen
 
 from __future__ import annotations
 
+import logging
+import secrets
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
 
+log = logging.getLogger(__name__)
+#: The setting that holds the key.
+KEY = "spark.eventframe.piiKey"
 #: What is looked for. Possessive and bounded, so that a long run costs linear time.
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,128}+@(?:[\p{L}\p{N}-]{1,63}+\.){1,8}\p{L}{2,24}(?!\p{L})"
 NATIONAL = r"(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|\(0\d{1,4}\) ?\d{2,8}(?:[ -]\d{2,8}){0,4}|0\d{1,4}(?: \d{2,8}){1,4}"
@@ -367,5 +373,11 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", id_col: str
 
 
 def session_key(spark) -> str:
-    """The setting spark.eventframe.piiKey, or, for tests and checks, a key that hides nothing."""
-    return spark.conf.get("spark.eventframe.piiKey", "not a secret: set spark.eventframe.piiKey")
+    """The setting spark.eventframe.piiKey; where it is unset, a random key, which the session keeps, so that stand-ins agree
+    within the session and nobody can work them out again."""
+    key = spark.conf.get(KEY, None)
+    if not key:
+        log.warning("%s is not set: stand-ins of this session agree with those of no other", KEY)
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY, key)
+    return key

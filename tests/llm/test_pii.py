@@ -201,3 +201,15 @@ def test_other_cased_scripts_get_stand_ins(make_docs):
     made = {r.norm: r.made for r in pii.entity_table(units, "k", rounds=3).collect()}
     assert set(made) == {"արամ", "ⲁⲃⲅ"} and not set(made) & set(made.values())
     assert re.fullmatch("[ա-ֆ]{4}", made["արամ"])
+
+
+def test_session_key(spark, caplog):
+    """Without the setting a session makes up a key and keeps it."""
+    spark.conf.unset(pii.KEY)
+    first = pii.session_key(spark)
+    assert len(first) == 64 and pii.session_key(spark) == first and "not set" in caplog.text
+    spark.conf.set(pii.KEY, "own")
+    assert pii.session_key(spark) == "own"
+    spark.conf.unset(pii.KEY)
+    assert pii.session_key(spark) != first
+    spark.conf.unset(pii.KEY)
