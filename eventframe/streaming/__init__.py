@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,9 +45,25 @@ def running_totals(stream: DataFrame, key: str, value: str) -> DataFrame:
     return stream.groupBy(key).applyInPandasWithState(update, f"{key} {kind}, n long, total double", "n long, total double", "update", "NoTimeout")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder in the one that the cluster names in spark.checkpoint.dir, or, in local mode, a temporary one."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("streams need a folder that all executors share; name one in spark.checkpoint.dir")
+    return f"{named.rstrip('/')}/stream-{uuid.uuid4().hex}" if named else "file://" + tempfile.mkdtemp(prefix="eventframe-stream-")
+
+
 def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """Runs a stream over all that is there now; returns what it has emitted."""
-    spark, name = stream.sparkSession, f"drained_{uuid.uuid4().hex}"
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+    """Runs a stream over all that is there now; returns what it has emitted, which the executors have written to the shared folder,
+    batch by batch (a batch that is run again overwrites its own). In complete mode that is the last batch's table."""
+    spark, folder, batches = stream.sparkSession, shared_folder(stream.sparkSession), []
+
+    def keep(rows: DataFrame, number: int) -> None:
+        batches.append(f"{folder}/rows/{number}")
+        rows.write.mode("overwrite").parquet(batches[-1])
+
+    q = stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{folder}/state").outputMode(mode).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.table(name)
+    if not batches:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(*(batches[-1:] if mode == "complete" else dict.fromkeys(batches)))

@@ -195,6 +195,18 @@ def test_stream_windows(spark, sf):
     assert {(r.user_id, r.session_window.start, r.n) for r in drain(sessions(timed(), "2 hours", "user_id"), "complete").collect()} == by_user
 
 
+def test_drained_streams_are_files(spark, sf, tmp_path):
+    """What a stream emits is written by the executors, batch by batch; one that emits nothing is an empty table."""
+    from eventframe.streaming import drain, stream_events
+
+    eventframe.register(spark)
+    made = drain(stream_events(spark, folder(spark, sf, "events"), "event_id long, value double"))
+    assert made.inputFiles() and made.count() == made.distinct().count() == scan(spark, sf, "events", ["event_id"]).count()
+    (tmp_path / "none").mkdir()
+    empty = drain(stream_events(spark, str(tmp_path / "none"), "event_id long, value double"))
+    assert empty.count() == 0 and empty.columns == ["event_id", "value"]
+
+
 def test_late_events_are_dropped(spark, tmp_path):
     """What the watermark has passed is emitted once, and what comes behind it no more."""
     from eventframe.streaming import stream_events, tumbling, with_time
