@@ -127,7 +127,7 @@ def count_only(spark, sf):
 
 @query("SELECT i AS first, least(i + 999, (SELECT count(*) FROM orders) - 1) AS last FROM generate_series(0, (SELECT count(*) FROM orders) - 1, 1000) g(i)")
 def partition_plan(spark, sf):
-    df = scan(spark, sf, "codec_raw", ["o_orderkey"], entriesPerPartition=1000).withColumn("p", F.spark_partition_id())
+    df = scan(spark, sf, "codec_raw", ["o_orderkey"], entriesPerPartition=1000, ranges="all").withColumn("p", F.spark_partition_id())
     n = df.groupBy("p").agg(F.count("*").alias("c")).withColumn("last", F.sum("c").over(Window.orderBy("p")) - 1)
     return n.select((F.col("last") - F.col("c") + 1).alias("first"), "last")
 

@@ -20,7 +20,7 @@ from pyspark.sql.datasource import (
 
 from .options import Options
 from .paths import local_path, resolve
-from .planning import EntryRange, open_tree, plan, slice_ranges
+from .planning import EntryRange, EntryRanges, open_tree, plan, slice_ranges
 from .reading import read_range
 from .schema import leaves, prune, schema_of
 from .writer import parse_types
@@ -30,7 +30,8 @@ class EventSource(DataSource):
     """spark.read.format("root").option("tree", "Events").load(paths).
 
     Options (any case): tree, path or paths, columns (comma-separated, dotted for struct members), entriesPerPartition, threadCount
-    (0 decodes in the task's own thread), batchRows, uint64 (wrap or decimal), planning (driver, executor or auto). A schema given to spark.read prunes
+    (0 decodes in the task's own thread), batchRows, uint64 (wrap or decimal), planning (driver, executor or auto), ranges (file, or
+    all for partitions of entriesPerPartition entries across files). A schema given to spark.read prunes
     the scan to its columns, as does the option columns.
     """
 
@@ -53,9 +54,10 @@ class EventSource(DataSource):
         return EventWriter(low["path"], low.get("tree", "Events"), low.get("codec", "zlib"), low.get("types"), schema, overwrite)
 
 
-def read_part(part: EntryRange, options: Options, schema: T.StructType) -> Iterator[pa.RecordBatch]:
-    """The rows of an entry range, or of a slice of a file, which is planned here."""
-    for r in slice_ranges(part, leaves(schema), options.entries_per_partition) if part.stop < 0 else [part]:
+def read_part(part: EntryRange | EntryRanges, options: Options, schema: T.StructType) -> Iterator[pa.RecordBatch]:
+    """The rows of an entry range or of several, or of a slice of a file, which is planned here."""
+    ranges = part.ranges if isinstance(part, EntryRanges) else slice_ranges(part, leaves(schema), options.entries_per_partition) if part.stop < 0 else [part]
+    for r in ranges:
         if r.stop > r.start:
             yield from read_range(r, schema, options.threads, options.batch_rows)
 

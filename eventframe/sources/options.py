@@ -7,8 +7,8 @@ import warnings
 from dataclasses import dataclass
 from typing import Any
 
-KNOWN = {"tree": str, "threadcount": int, "path": str, "paths": str, "columns": str, "entriesperpartition": int, "uint64": str, "batchrows": int, "codec": str, "types": str, "planning": str}
-DEFAULTS = {"tree": "Events", "threadcount": 16, "entriesperpartition": 200_000, "uint64": "wrap", "batchrows": 65_536, "planning": "auto"}
+KNOWN = {"tree": str, "threadcount": int, "path": str, "paths": str, "columns": str, "entriesperpartition": int, "uint64": str, "batchrows": int, "codec": str, "types": str, "planning": str, "ranges": str}
+DEFAULTS = {"tree": "Events", "threadcount": 16, "entriesperpartition": 200_000, "uint64": "wrap", "batchrows": 65_536, "planning": "auto", "ranges": "file"}
 
 
 class OptionError(ValueError):
@@ -25,6 +25,7 @@ class Options:
     uint64: str
     batch_rows: int
     planning: str
+    ranges: str = "file"
 
     @staticmethod
     def parse(given: dict[str, Any]) -> Options:
@@ -52,9 +53,11 @@ class Options:
             raise OptionError("uint64 must be wrap or decimal")
         if value("planning") not in ("auto", "driver", "executor"):
             raise OptionError("planning must be auto, driver or executor")
+        if value("ranges") not in ("file", "all") or value("ranges") == "all" and value("planning") == "executor":
+            raise OptionError("ranges must be file or all, and all is planned on the driver")
         columns = low.get("columns")
         names = tuple(c.strip() for c in columns.split(",") if c.strip()) if columns is not None else None
-        return Options(value("tree"), threads, tuple(sorted(paths)), names, per, value("uint64"), value("batchrows"), value("planning"))
+        return Options(value("tree"), threads, tuple(sorted(paths)), names, per, value("uint64"), value("batchrows"), value("planning"), value("ranges"))
 
     def need_paths(self) -> Options:
         if not self.paths:

@@ -1,10 +1,11 @@
-"""Partitions: entry ranges of files, each with the baskets of the requested columns that it overlaps."""
+"""Partitions: entry ranges of files, or of all files as one table, each with the baskets of the requested columns that it overlaps."""
 
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import types as T
 from pyspark.sql.datasource import InputPartition
@@ -65,6 +66,17 @@ class EntryRange(InputPartition):
         self.file, self.tree, self.start, self.stop, self.columns = file, tree, start, stop, columns
 
 
+@dataclass
+class EntryRanges(InputPartition):
+    """Neighbouring ranges of several files, read in order."""
+
+    ranges: tuple[EntryRange, ...]
+
+    def __init__(self, ranges: tuple[EntryRange, ...]):
+        super().__init__(None)
+        self.ranges = ranges
+
+
 def open_tree(path: str, name: str) -> Tree:
     """A tree, decoded once per process and file state."""
     file = FILES.get(path)
@@ -81,11 +93,28 @@ def column_plan(tree: Tree, path: tuple[str, ...]) -> ColumnPlan:
     return ColumnPlan(path, p.name, shape.kind, shape.length, shape.skip, tuple(starts), tuple(loose), tuple(kept))
 
 
-def plan_file(path: str, name: str, columns: list[tuple[str, ...]], per: int, first: int = 0, last: int | None = None) -> list[EntryRange]:
-    """Ranges of at most per entries from first to last (by default all)."""
+def plan_file(path: str, name: str, columns: list[tuple[str, ...]], per: int, first: int = 0, last: int | None = None, lead: int = 0) -> list[EntryRange]:
+    """Ranges of at most per entries from first to last (by default all); the first one is shorter by lead."""
     tree = open_tree(path, name)
     plans, last = [column_plan(tree, c) for c in columns], tree.entries if last is None else last
-    return [EntryRange(path, name, a, min(a + per, last), tuple(c.trim(a, min(a + per, last)) for c in plans)) for a in range(first, last, per)]
+    edges = [(max(a, first), min(a + per, last)) for a in range(first - lead, last, per)]
+    return [EntryRange(path, name, a, b, tuple(c.trim(a, b) for c in plans)) for a, b in edges]
+
+
+def plan_all(files: list[str], options: Options, columns: list[tuple[str, ...]]) -> list[EntryRanges]:
+    """Partitions of exactly per entries of all files in order, the last one of what is left; a partition may span files."""
+    per = options.entries_per_partition
+    with ThreadPoolExecutor(max(1, min(PLANNERS, len(files)))) as pool:
+        sizes = list(pool.map(lambda f: open_tree(f, options.tree).entries, files))
+        firsts = [end - n for n, end in zip(sizes, accumulate(sizes))]
+        made = list(pool.map(lambda f, at: plan_file(f, options.tree, columns, per, lead=at % per), files, firsts))
+    held: list[list[EntryRange]] = []
+    for at, ranges in zip(firsts, made):
+        for r in ranges:
+            if (at + r.start) % per == 0:
+                held.append([])
+            held[-1].append(r)
+    return [EntryRanges(tuple(x)) for x in held]
 
 
 def slice_ranges(part: EntryRange, columns: list[tuple[str, ...]], per: int) -> list[EntryRange]:
@@ -94,8 +123,10 @@ def slice_ranges(part: EntryRange, columns: list[tuple[str, ...]], per: int) ->
     return plan_file(part.file, part.tree, columns, per, n * part.start // -part.stop, n * (part.start + 1) // -part.stop)
 
 
-def plan(files: list[str], options: Options, schema: T.StructType) -> list[EntryRange]:
+def plan(files: list[str], options: Options, schema: T.StructType) -> list[EntryRange] | list[EntryRanges]:
     """All partitions of all files, in order. The driver looks at files in parallel; or, with planning=executor, not at all."""
+    if options.ranges == "all":
+        return plan_all(files, options, leaves(schema))
     if options.planning == "executor" or options.planning == "auto" and len(files) > DRIVER_FILES:
         with ThreadPoolExecutor(max(1, min(PLANNERS, len(files)))) as pool:
             slices = list(pool.map(lambda f: max(1, -(-size_of(f) // SLICE_BYTES)), files))

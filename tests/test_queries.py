@@ -5,6 +5,7 @@ import math
 import os
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 import eventframe
@@ -53,6 +54,36 @@ def test_partitions(spark, sf):
     assert scan(spark, sf, "codec_raw", ["o_orderkey"]).rdd.getNumPartitions() == 1
 
 
+def test_partitions_of_several_files(spark, sf, tmp_path):
+    """The plan counts entries through all files, however many the table was written as."""
+    from pyspark.sql import functions as F
+
+    from eventframe.sources.writer import Column, write_tree
+
+    sizes = [5, 0, 1, 24, 10, 3]
+    for k, n in enumerate(sizes):
+        at = sum(sizes[:k])
+        write_tree(str(tmp_path / f"{k}.root"), "Events", [{"a": pa.array(range(at + b, min(at + b + 7, at + n)), pa.int32())} for b in range(0, n, 7)], [Column("a", "int")])
+    df = eventframe.read_events(spark, str(tmp_path), columns=["a"], entriesPerPartition=10, ranges="all")
+    got = df.groupBy(F.spark_partition_id().alias("p")).agg(F.sort_array(F.collect_list("a")).alias("a")).orderBy("p").collect()
+    assert [r.a for r in got] == [list(range(a, min(a + 10, 43))) for a in range(0, 43, 10)]
+
+
+def test_partition_plan_of_a_table_in_several_files(spark, sf, tmp_path):
+    import __spark_entry__
+
+    spark.read.parquet(f"{sf}/orders.parquet").repartition(3).write.parquet(str(tmp_path / "orders.parquet"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = sorted(map(tuple, __spark_entry__.queries()["partition_plan"](spark, str(tmp_path)).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+    assert got == sorted(con.execute(__spark_entry__.oracle_sql()["partition_plan"]).fetchall())
+
+
 def test_pruned_plan_reads_only_what_is_asked(spark, sf):
     df = scan(spark, sf, "lineitem", ["l_tax"])
     assert df.columns == ["l_tax"]
