@@ -16,11 +16,11 @@ ORACLE_SQL = None
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language is determined: rejected are those without a letter, those whose language is less
-    probable than not, and those whose n-grams are less likely in it than held-out labelled texts of their length show. The classifier learns from the labelled documents; without any, all are rejected. Null and empty texts are
+    probable than not, and those whose n-grams are less likely in it than labelled texts of their length are in a model of the others. The classifier learns from all labelled documents; without any, all are rejected. Null and empty texts are
     rejected; nulls in other columns, repeated rows and extra columns stay as they are."""
-    model = language_id.fit(docs, key=("doc_id",))
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), "text")
-    seen = language_id.predict(rows, model, id_col="row", floors=language_id.fit_floors(docs, key=("doc_id",)))
+    counts = language_id.count(docs)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    seen = language_id.predict(rows, counts.model(), id_col="row", text_col="row.text", floors=language_id.fit_floors(docs, counts))
     return seen.where((F.col("lang_pred") != "und") & (F.col("score") >= 0.5) & F.col("typical")).select("row.*")
 
 

@@ -213,6 +213,44 @@ def test_fit_sample_is_bounded(make_docs):
     assert m.languages == ["en"]
 
 
+def test_all_labelled_rows_count(make_docs):
+    """More rows than any sample took: each counts in the model, and each has its say in the floors, read without itself."""
+    docs = make_docs([(i, f"word{'abcdefghij'[i % 10]} {'klmno'[i % 5]}" if i % 20 else "zyx wvu zyx", "en") for i in range(24_000)])
+    c = language_id.count(docs, buckets=1 << 11)
+    assert c.docs.tolist() == [24_000]
+    want = np.zeros(1 << 11, dtype=np.int64)
+    for r, n in docs.groupBy("text").count().collect():
+        want += n * np.bincount(brute_grams(r, 1 << 11), minlength=1 << 11)
+    assert (c.grams[:, 0] == want).all()
+    assert language_id.fit(docs, buckets=1 << 11).log_prob == pytest.approx(c.model().log_prob)
+
+
+@pytest.mark.parametrize("chunk", [8, 1 << 16])
+def test_floors_leave_each_text_out(monkeypatch, make_docs, chunk):
+    texts = ["the cat and the dog", "a dog and a cat", "the end of the day", "12 . 3", "x"]
+    docs = make_docs([(i, t, "en") for i, t in enumerate(texts)] + [(9, "le chat", "fr"), (10, None, "en"), (11, "no label", None)])
+    c, shown = language_id.count(docs, buckets=1 << 11), defaultdict(list)
+    if chunk < 20:
+        monkeypatch.setattr(language_id, "CHUNK", chunk)
+    total = sum(np.bincount(brute_grams(t, 1 << 11), minlength=1 << 11) for t in texts)
+    column = np.log(c.grams[:, 0] + 0.5)
+    for t in texts[:3]:
+        pieces = [t[:2], t[:4], t]
+        rest = total - np.bincount(brute_grams(t, 1 << 11), minlength=1 << 11) + 0.5
+        means, n = language_id.means_without(pieces, column, c.grams[:, 0], int(c.grams[:, 0].sum()), 0.5)
+        assert means == pytest.approx([np.mean(np.log(rest / rest.sum())[brute_grams(x, 1 << 11)]) for x in pieces]) and n.tolist() == [len(brute_grams(x, 8)) for x in pieces]
+    assert (column == np.log(c.grams[:, 0] + 0.5)).all()
+    monkeypatch.undo()
+    for t in (*texts[:3], "x"):
+        for x in [*(t[: 1 << k] for k in range(1, len(t).bit_length()) if any(ch.isalpha() for ch in t[: 1 << k])), t]:
+            rest = total - np.bincount(brute_grams(t, 1 << 11), minlength=1 << 11) + 0.5
+            g = brute_grams(x, 1 << 11)
+            shown[int(np.log2(len(g)))].append(np.mean(np.log(rest / rest.sum())[g]))
+    want = {k: np.median(v) - max(2.0, 4 * (np.median(v) - np.quantile(v, 0.05))) for k, v in shown.items()}
+    got = language_id.fit_floors(docs, c)
+    assert set(got) == {"en"} and got["en"] == pytest.approx(want, abs=0.02)
+
+
 # ---- packing
 
 
