@@ -3,7 +3,8 @@
 On unit vectors cosine >= c is distance <= sqrt(2 - 2c). A cover tree's nested levels halve their radii; each node keeps
 the distance to its farthest descendant. Two nodes are traversed together: their pair is dropped when their centres are
 farther apart than the threshold and both covering radii, taken whole when they are that much nearer, and opened
-otherwise. A distance is computed only when the pair of nodes above it has been opened. Pairs of single points within
+otherwise. A distance is computed only when the pair of nodes above it has been opened and, in large products, when
+projections of the two centres on a few fixed directions, which are never farther apart than they are, don't rule it out. Pairs of single points within
 rounding of the threshold get the exact cosine in double precision.
 """
 
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, min_roots, sorted_groups
+from .common import blocks_of, components, cut, min_roots, sorted_groups
 from .vectors import matrix, numbers, scaled, units, usable
 
 #: Slack for rounding in distances computed from products.
@@ -25,6 +26,8 @@ EPS = 1e-7
 FINE = 1e-12
 #: Nodes on a side of one product, and pairs computed at once.
 TILE, PAIRS = 1024, 1 << 17
+#: Coordinates of a shadow, and slack for its single precision.
+SHADOW, SHADOW_EPS = 16, 1e-4
 
 
 class CoverTree:
@@ -124,6 +127,15 @@ def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return owner, np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + starts[owner]
 
 
+def shadows(u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Projections of rows on SHADOW fixed orthonormal directions, as left and right factors of the squares of their distances, in single
+    precision: no two rows are nearer than their shadows."""
+    basis = np.linalg.qr(np.random.default_rng(0).standard_normal((u.shape[1], SHADOW)))[0]
+    p = u @ basis
+    size, one = (p * p).sum(axis=1, keepdims=True), np.ones((len(p), 1))
+    return np.hstack([-2.0 * p, size, one]).astype(np.float32), np.hstack([p, one, size]).astype(np.float32)
+
+
 class Meeting:
     """Dual traversal of two trees, or of one with itself (ty None): links within distance tau.
 
@@ -144,12 +156,25 @@ class Meeting:
         by_far = lambda s, e, f: (k := s + np.argsort(f[s:e] > 0, kind="stable"), int((f[s:e] == 0).sum()))
         cut_up = lambda k, lone: [k[i : min(i + TILE, stop)] for at, stop in ((0, lone), (lone, len(k))) for i in range(at, stop, TILE)]
         left, right = cut_up(*by_far(s0, e0, fx)), cut_up(*by_far(s1, e1, fy))
+        shade = self.tx.u.shape[1] >= 2 * SHADOW
+        ends = [shadows(self.ty.u[sy[b]])[1] if shade else None for b in right]
         for i, a in enumerate(left):
-            for b in right[i:] if own else right:  # for one node with itself both lists are the same
-                dot = self.tx.u[sx[a]] @ self.ty.u[sy[b]].T
-                self.asked += dot.size
-                x, y = np.nonzero(dot >= 1.0 - (self.tau + fx[a].max() + fy[b].max() + EPS) ** 2 / 2.0)
-                d, x, y = dot[x, y], a[x], b[y]
+            first = shadows(self.tx.u[sx[a]])[0] if shade else None
+            for j in range(i if own else 0, len(right)):  # for one node with itself both lists are the same
+                b, x = right[j], None
+                most = self.tau + fx[a].max() + fy[b].max() + EPS
+                if shade and most < 0.5:  # few shadows are that near, unless the rows are
+                    x, y = np.nonzero(first @ ends[j].T <= np.float32(most * most + SHADOW_EPS))
+                if x is not None and len(x) * 16 < len(a) * len(b):
+                    d, x, y = pair_dots(self.tx.u, sx[a][x], self.ty.u, sy[b][y]), a[x], b[y]
+                    self.asked += len(x)
+                    k = d >= 1.0 - most**2 / 2.0
+                    d, x, y = d[k], x[k], y[k]
+                else:
+                    dot = self.tx.u[sx[a]] @ self.ty.u[sy[b]].T
+                    self.asked += dot.size
+                    x, y = np.nonzero(dot >= 1.0 - most**2 / 2.0)
+                    d, x, y = dot[x, y], a[x], b[y]
                 if own:
                     keep = (x <= y) if a is b or a[0] == b[0] else np.ones(len(x), bool)
                     d, x, y = d[keep], x[keep], y[keep]
@@ -303,7 +328,7 @@ def near_vectors(
     non-finite components, or differ in length link with nothing: such rows are their own component. Equal vectors of a label
     are one weighted row first. The rows of a label with more than block_rows of them are dealt to the nearest of up to
     `pivots` centres of a cover tree's upper levels (of a sample of at most sample_rows rows; for the pivot_groups largest labels; only the
-    amount of work depends on them), and a row goes also to the borders its threshold reaches. Cells with more than
+    amount of work depends on them, and labels whose rows would be sent to more cells than there are blocks are not dealt), and a row goes also to the borders its threshold reaches. Cells with more than
     block_rows rows become blocks by hash, paired with each other, so that a label or cell with a third of all rows becomes many
     tasks. Each block's tree is built once. A task returns sums and a spanning forest, never its pairs. Rows that repeat an id
     count as rows of their own; rows with a null id are returned with no links, a null component and kept false.
@@ -326,7 +351,12 @@ def near_vectors(
         by_gid: dict[int, list] = {}
         for r in picked.select("gid", "v").collect():
             by_gid.setdefault(r["gid"], []).append(r["v"])
-        of_label = {gid: choose_pivots(units(np.array(v, dtype=np.float64)), pivots) for gid, v in by_gid.items()}
+        sizes = {r["gid"]: r["n"] for r in chosen.select("gid", "n").collect()}
+        for gid, v in by_gid.items():
+            u = units(np.array(v, dtype=np.float64))
+            centres = choose_pivots(u, pivots)
+            if len(u) + len(reach(u, centres, tau)[1]) < len(u) * blocks_of(sizes[gid], block_rows):  # else blocks paired with each other get fewer copies
+                of_label[gid] = centres
     shared = spark.sparkContext.broadcast(of_label)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -46,6 +46,17 @@ def test_distances_are_computed_on_demand():
     assert asked < len(x) * len(y) / 6
 
 
+def test_few_distances_without_structure():
+    """Rows without structure are all centres; of their pairs the projections leave few, and no link is lost."""
+    x = cover_tree.units(cloud(3000, 64, [40]))
+    tree = cover_tree.CoverTree(x)
+    links, asked = cover_tree.threshold_links(x, None, 0.98, tx=tree)
+    assert asked < len(x) * (len(x) - 1) / 2 / 4
+    link = x @ x.T >= 0.98
+    np.fill_diagonal(link, False)
+    assert link.any() and (links.sums == link.sum(axis=1)).all()
+
+
 def test_reach_holds_every_border_pair():
     x = cover_tree.units(cloud(900, 4, [100]))
     pivots = cover_tree.choose_pivots(x[::9], 12)
